@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from voxloom.functions.readings import in_force, recording, speaker_directory, speaker_key
+from voxloom.llm.capping import best_scores, cap_contributors
+from voxloom.llm.splits import assign_splits, group_records
 from voxloom.llm.turns import speaker_turns
 
 
@@ -16,5 +20,79 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return speaker_turns(_t(spark, sf, "audio_segments"), _t(spark, sf, "speakers"))
 
 
-QUERIES = {"p3_found": p3_found}
-ORACLE: dict[str, str] = {}
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Each clip with the group of clips it hangs together with by speaker or recording."""
+    clips = _t(spark, sf, "curated_tts_manifest").select("clip_id", speaker_key(F.col("speaker_id")).alias("speaker_key"), recording(F.col("wav")).alias("recording"))
+    known = speaker_directory(_t(spark, sf, "speakers"))
+    return group_records(clips.join(known, "speaker_key", "left"), "clip_id", "known_speaker", "recording")
+
+
+def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Each clip with its group and its split: 80 % train, 10 % validation, 10 % test."""
+    return assign_splits(p2_found(spark, sf), "group_key", {"train": 0.8, "validation": 0.1, "test": 0.1})
+
+
+def _scored(spark: SparkSession, sf: str) -> DataFrame:
+    rows = in_force(_t(spark, sf, "audio_segments"), ["segment_id", "speaker_id", "ingested_at"])
+    return rows.join(best_scores(_t(spark, sf, "segment_scores")), "segment_id", "left").select(
+        "segment_id", "score", speaker_key(F.col("speaker_id")).alias("speaker_key")
+    )
+
+
+def _best_first() -> list:
+    return [F.col("score").desc_nulls_last(), F.col("segment_id").asc()]
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments that are dropped when each known speaker keeps the best 50."""
+    known = speaker_directory(_t(spark, sf, "speakers"))
+    marked = cap_contributors(_scored(spark, sf).where("speaker_key IS NOT NULL"), "speaker_key", _best_first(), max_count=50)
+    return marked.where(~F.col("kept")).join(known, "speaker_key", "left_semi").select("segment_id")
+
+
+def p6_share(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments and kept segments of each known speaker when none may have more than 1 % of what is kept."""
+    known = speaker_directory(_t(spark, sf, "speakers"))
+    rows = _scored(spark, sf).join(known, "speaker_key")
+    marked = cap_contributors(rows, "known_speaker", _best_first(), max_share=0.01)
+    return marked.groupBy(F.col("known_speaker").alias("speaker_id")).agg(
+        F.count(F.lit(1)).alias("n_segments"), F.count_if("kept").alias("n_kept"), F.min(F.when(F.col("kept"), F.col("score"))).alias("lowest_kept")
+    )
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_splits": p2_splits,
+    "p3_found": p3_found,
+    "p6_found": p6_found,
+    "p6_share": p6_share,
+}
+
+_KEY = (
+    r"nullif(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower({0}), '^[^\p{{L}}\p{{N}}]+', ''), "
+    r"'^(?:spk|spkr|speaker|sprecher|sprecherin|hablante|locutor|locutora|locuteur|locutrice|falante|orador|oradora|msemaji|kasafo|voice|talker)[^\p{{L}}\p{{N}}]+', ''), "
+    r"'[^\p{{L}}\p{{N}}]+', '', 'g'), '(^|\P{{N}})0+(\p{{N}})', '\1\2', 'g'), '')"
+)
+_SCORED = f"""
+WITH known AS (SELECT {_KEY.format('speaker_id')} AS k, min(speaker_id) AS speaker_id FROM speakers GROUP BY 1),
+force AS (
+    SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY ingested_at DESC NULLS LAST, speaker_id DESC NULLS LAST) AS rn FROM audio_segments),
+latest AS (
+    SELECT segment_id, total, row_number() OVER (PARTITION BY segment_id ORDER BY scored_at DESC NULLS LAST, total DESC) AS rn
+    FROM segment_scores WHERE total BETWEEN 0 AND 100 AND NOT isnan(total)),
+ranked AS (
+    SELECT f.segment_id, n.speaker_id, l.total AS score,
+        row_number() OVER (PARTITION BY n.speaker_id ORDER BY l.total DESC NULLS LAST, f.segment_id) AS r,
+        count(*) OVER (PARTITION BY n.speaker_id) AS n
+    FROM force f JOIN known n ON {_KEY.format('f.speaker_id')} = n.k LEFT JOIN latest l ON l.segment_id = f.segment_id AND l.rn = 1
+    WHERE f.rn = 1)
+"""
+ORACLE: dict[str, str] = {
+    "p6_found": _SCORED + "SELECT segment_id FROM ranked WHERE r > 50",
+    "p6_share": _SCORED
+    + """, counts AS (SELECT speaker_id, max(n) AS n FROM ranked GROUP BY 1),
+levels AS (SELECT c.n AS c, (SELECT sum(least(x.n, c.n)) FROM counts x) AS total FROM (SELECT DISTINCT unnest(range(1, (SELECT max(n) + 1 FROM counts))) AS n) c),
+cap AS (SELECT coalesce(max(c), (SELECT min(n) FROM counts)) AS c FROM levels WHERE c <= 0.01 * total + 1e-9)
+SELECT speaker_id, count(*) AS n_segments, count(*) FILTER (WHERE r <= (SELECT c FROM cap)) AS n_kept,
+    min(CASE WHEN r <= (SELECT c FROM cap) THEN score END) AS lowest_kept FROM ranked GROUP BY 1""",
+}

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.readings import in_force, recording, speaker_directory, speaker_key
 from voxloom.llm.capping import best_scores, cap_contributors
+from voxloom.llm.languages import fit_on_table, identify, label_findings
+from voxloom.llm.lookalike import lookalike_pairs, with_canonical
 from voxloom.llm.splits import assign_splits, group_records
 from voxloom.llm.turns import speaker_turns
 
@@ -32,6 +34,46 @@ def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
     return assign_splits(p2_found(spark, sf), "group_key", {"train": 0.8, "validation": 0.1, "test": 0.1})
 
 
+def _identified(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _t(spark, sf, "text_segments").select("segment_id", "text", "lang")
+    return identify(rows, "text", fit_on_table(rows, "text", "lang"))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Missing and wrong language labels, and the other languages of mixed texts."""
+    return label_findings(_identified(spark, sf), "segment_id", "lang")
+
+
+def p4_stretches(spark: SparkSession, sf: str) -> DataFrame:
+    """Language and confidence of every text, and of every stretch in another language (first_word is null for the text)."""
+    rows = _identified(spark, sf).select("segment_id", "main_lang", "confidence", "stretches").distinct()
+    whole = rows.select("segment_id", F.col("main_lang").alias("lang"), F.lit(None).cast("int").alias("first_word"), F.lit(None).cast("int").alias("n_words"), "confidence")
+    parts = rows.select("segment_id", F.explode("stretches").alias("s")).select("segment_id", "s.lang", "s.first_word", "s.n_words", "s.confidence")
+    return whole.unionByName(parts)
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of records whose phonemes or IPA look the same but differ in characters."""
+    tables = {
+        "curated_tts_manifest": ("clip_id", "phonemes", lambda: [recording(F.col("wav"))]),
+        "g2p_overrides": ("override_id", "ipa", lambda: [F.col("lang"), F.col("word")]),
+        "g2p_rules": ("rule_id", "ipa", lambda: [F.col("lang"), F.col("pattern")]),
+    }
+    found = None
+    for name, (record, text, within) in tables.items():
+        pairs = lookalike_pairs(_t(spark, sf, name), record, text, within()).select(F.lit(name).alias("record_table"), "id_a", "id_b")
+        found = pairs if found is None else found.unionByName(pairs)
+    return found
+
+
+def p5_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    """Phonemes of every clip in the consistent form, and whether that changed them."""
+    rows = _t(spark, sf, "curated_tts_manifest").select("clip_id", "phonemes").distinct()
+    return with_canonical(rows, "phonemes", "consistent").select(
+        "clip_id", "consistent", (~F.col("phonemes").eqNullSafe(F.col("consistent"))).alias("changed")
+    )
+
+
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     rows = in_force(_t(spark, sf, "audio_segments"), ["segment_id", "speaker_id", "ingested_at"])
     return rows.join(best_scores(_t(spark, sf, "segment_scores")), "segment_id", "left").select(
@@ -64,6 +106,10 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_splits": p2_splits,
     "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_stretches": p4_stretches,
+    "p5_found": p5_found,
+    "p5_canonical": p5_canonical,
     "p6_found": p6_found,
     "p6_share": p6_share,
 }

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from voxloom.functions.readings import in_force, recording, speaker_directory, speaker_key
 from voxloom.llm.capping import best_scores, cap_contributors
 from voxloom.llm.languages import fit_on_table, identify, label_findings
+from voxloom.llm.leakage import leaks
 from voxloom.llm.lookalike import lookalike_pairs, with_canonical
+from voxloom.llm.mixing import plan_mixes
+from voxloom.llm.quality import text_quality
 from voxloom.llm.splits import assign_splits, group_records
 from voxloom.llm.turns import speaker_turns
 
@@ -102,6 +105,42 @@ def p6_share(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that hold twelve words on end of an evaluation item, or a shorter item whole."""
+    return leaks(_t(spark, sf, "documents"), _t(spark, sf, "eval_items")).where("verbatim > 0").select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Per evaluation item: documents that hold it verbatim, and documents that only hold it with other names or numbers."""
+    found = leaks(_t(spark, sf, "documents"), _t(spark, sf, "eval_items"))
+    return found.groupBy("item_id").agg(F.count_if(F.col("verbatim") > 0).alias("n_verbatim"), F.count_if((F.col("verbatim") == 0) & (F.col("reworded") > 0)).alias("n_reworded"))
+
+
+def _mixes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return plan_mixes(_t(spark, sf, "documents"), _t(spark, sf, "mix_targets"), weight=F.log1p(F.length("text")))
+
+
+def p8_mix_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Copies of each document for each mix; longer texts are somewhat more likely."""
+    return _mixes(spark, sf)[0]
+
+
+def p8_mix_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and actual share of every source of every mix."""
+    return _mixes(spark, sf)[1]
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that aren't prose by most of their characters, with what they are."""
+    rows = text_quality(_t(spark, sf, "documents").select("doc_id", "text"), "text")
+    return rows.where("kind <> 'prose'").select("doc_id", "kind")
+
+
+def p9_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Text statistics of every document."""
+    return text_quality(_t(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_splits": p2_splits,
@@ -112,6 +151,12 @@ QUERIES = {
     "p5_canonical": p5_canonical,
     "p6_found": p6_found,
     "p6_share": p6_share,
+    "p7_found": p7_found,
+    "p7_items": p7_items,
+    "p8_mix_plan": p8_mix_plan,
+    "p8_mix_shares": p8_mix_shares,
+    "p9_found": p9_found,
+    "p9_stats": p9_stats,
 }
 
 _KEY = (

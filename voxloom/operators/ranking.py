@@ -25,26 +25,28 @@ def rank_and_running(
     partitions. Ranks are found inside each partition and shifted by what the key's earlier partitions hold, for which one
     row per key and partition is enough. The order should be total; ties are settled arbitrarily but once and for all, since
     the partitioned rows are written to the checkpoint folder. Null keys form a group of their own; nulls of ``value`` count 0.
+    Columns named like the new ones are replaced.
     """
+    df = df.drop(rank, *([running] if value else []))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = cut(
-        df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id())
+        df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("__vx_part", F.spark_partition_id())
     )
     amount = F.coalesce(F.col(value), F.lit(0)) if value else F.lit(0)
-    inside = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__vx_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("__vx_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        parts.groupBy("_part", *keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_v"))
-        .withColumn("_n0", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .withColumn("_v0", F.coalesce(F.sum("_v").over(before), F.lit(0)))
-        .select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_n0", "_v0")
+        parts.groupBy("__vx_part", *keys)
+        .agg(F.count(F.lit(1)).alias("__vx_n"), F.sum(amount).alias("__vx_v"))
+        .withColumn("__vx_n0", F.coalesce(F.sum("__vx_n").over(before), F.lit(0)))
+        .withColumn("__vx_v0", F.coalesce(F.sum("__vx_v").over(before), F.lit(0)))
+        .select(F.col("__vx_part").alias("__vx_p"), *[F.col(k).alias(f"__vx_k{i}") for i, k in enumerate(keys)], "__vx_n0", "__vx_v0")
     )
-    same = F.col("_part") == F.col("_p")
+    same = F.col("__vx_part") == F.col("__vx_p")
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    local = parts.withColumn("_rn", F.row_number().over(inside)).withColumn("_rs", F.sum(amount).over(inside))
-    out = local.join(shifts, same).withColumn(rank, F.col("_rn") + F.col("_n0"))
+        same = same & F.col(k).eqNullSafe(F.col(f"__vx_k{i}"))
+    local = parts.withColumn("__vx_rn", F.row_number().over(inside)).withColumn("__vx_rs", F.sum(amount).over(inside))
+    out = local.join(shifts, same).withColumn(rank, F.col("__vx_rn") + F.col("__vx_n0"))
     if value:
-        out = out.withColumn(running, F.col("_rs") + F.col("_v0"))
+        out = out.withColumn(running, F.col("__vx_rs") + F.col("__vx_v0"))
     return out.select(*df.columns, rank, *([running] if value else []))

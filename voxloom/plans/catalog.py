@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voxloom.plans import intervals
+from voxloom.plans import corpus, intervals, tables
 
-QUERIES = {**intervals.QUERIES}
-ORACLE = {**intervals.ORACLE}
+QUERIES = {**corpus.QUERIES, **tables.QUERIES, **intervals.QUERIES}
+ORACLE = {**corpus.ORACLE, **tables.ORACLE, **intervals.ORACLE}

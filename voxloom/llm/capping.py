@@ -62,8 +62,8 @@ def cap_contributors(
         cap = level if cap is None else min(cap, level)
     if cap is None:
         return records.withColumn(kept, F.lit(True))
-    ranked = rank_and_running(records, [contributor], order, rank="_rank")
-    return ranked.withColumn(kept, F.col(contributor).isNull() | (F.col("_rank") <= cap)).drop("_rank")
+    ranked = rank_and_running(records, [contributor], order, rank="__vx_rank")
+    return ranked.withColumn(kept, F.col(contributor).isNull() | (F.col("__vx_rank") <= cap)).drop("__vx_rank")
 
 
 def best_scores(scores: DataFrame) -> DataFrame:

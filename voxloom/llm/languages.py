@@ -180,8 +180,8 @@ def _identify(batches: Iterator[pa.RecordBatch], model: Identifier) -> Iterator[
     known: dict[str, int] = {}
     table = np.zeros((0, s), np.float32)
     for batch in batches:
-        rest = [c for c in batch.schema.names if c != "_text"]
-        texts = [(x or "").replace(_END, " ") for x in batch.column("_text").to_pylist()]
+        rest = [c for c in batch.schema.names if c != "__vx_text"]
+        texts = [(x or "").replace(_END, " ") for x in batch.column("__vx_text").to_pylist()]
         joined = fold(_END.join(texts) + _END)
         tokens = np.array(re.findall(r"\x1e|[^\W_]+", joined), dtype=object)
         codes, unique = pd.factorize(tokens)
@@ -239,8 +239,8 @@ def identify(df: DataFrame, text: str, model: Identifier) -> DataFrame:
     language; the main language holds most words. A stretch in another language has at least four words on end. Null texts
     and texts without a word in letters have null languages and no stretches. Columns named like the three new ones are replaced.
     """
-    given = df.drop("main_lang", "confidence", "stretches").withColumn("_text", F.col(text))
-    kept = [f for f in given.schema.fields if f.name != "_text"]
+    given = df.drop("main_lang", "confidence", "stretches").withColumn("__vx_text", F.col(text))
+    kept = [f for f in given.schema.fields if f.name != "__vx_text"]
     span = T.StructType().add("lang", "string").add("first_word", "integer").add("n_words", "integer").add("confidence", "double")
     new = T.StructType().add("main_lang", "string").add("confidence", "double").add("stretches", T.ArrayType(span))
     schema = T.StructType([*kept, *new.fields])

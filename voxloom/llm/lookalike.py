@@ -105,17 +105,17 @@ def canonical(texts: Sequence[str | None], phonetic: bool = True) -> list[str |
 
 def _canonical_batches(batches: Iterator[pa.RecordBatch], phonetic: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rest = [c for c in batch.schema.names if c != "_text"]
-        form = pa.array(canonical(batch.column("_text").to_pylist(), phonetic), pa.string())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), batch.column("_text"), form], [*rest, "_text", "_form"])
+        rest = [c for c in batch.schema.names if c != "__vx_text"]
+        form = pa.array(canonical(batch.column("__vx_text").to_pylist(), phonetic), pa.string())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), batch.column("__vx_text"), form], [*rest, "__vx_text", "__vx_form"])
 
 
 def with_canonical(df: DataFrame, text: str, out: str, phonetic: bool = True) -> DataFrame:
     """``df`` with the consistent form of ``text`` in ``out``. Null stays null; all other columns pass through."""
-    given = df.withColumn("_text", F.col(text)).select(*df.columns, "_text")
-    schema = T.StructType([*given.schema.fields, T.StructField("_form", T.StringType())])
+    given = df.withColumn("__vx_text", F.col(text)).select(*df.columns, "__vx_text")
+    schema = T.StructType([*given.schema.fields, T.StructField("__vx_form", T.StringType())])
     done = given.mapInArrow(lambda b: _canonical_batches(b, phonetic), schema)
-    return done.withColumn(out, F.col("_form")).drop("_text", "_form")
+    return done.withColumn(out, F.col("__vx_form")).drop("__vx_text", "__vx_form")
 
 
 def lookalike_pairs(df: DataFrame, record: str, text: str, within: Sequence[Column], phonetic: bool = True) -> DataFrame:

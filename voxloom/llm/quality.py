@@ -281,8 +281,8 @@ def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rest = [c for c in batch.schema.names if c != "_text"]
-        texts = batch.column("_text").to_pylist()
+        rest = [c for c in batch.schema.names if c != "__vx_text"]
+        texts = batch.column("__vx_text").to_pylist()
         stats, kinds = describe([t or "" for t in texts])
         null = np.array([t is None for t in texts], bool)
         columns = [pa.array(stats[:, i], mask=null).cast(pa.int64()) if i < 2 else pa.array(stats[:, i], mask=null) for i in range(len(STATS))]
@@ -296,8 +296,8 @@ def text_quality(df: DataFrame, text: str) -> DataFrame:
     text's kind is prose where prose lines hold most characters, else the largest of the others. Null texts have null
     statistics, blank texts a null kind. Columns of the same names are replaced; all others pass through.
     """
-    given = df.drop(*STATS, "kind").withColumn("_text", F.col(text) if text not in (*STATS, "kind") else F.lit(None))
-    kept = [f for f in given.schema.fields if f.name != "_text"]
+    given = df.drop(*STATS, "kind").withColumn("__vx_text", F.col(text) if text not in (*STATS, "kind") else F.lit(None))
+    kept = [f for f in given.schema.fields if f.name != "__vx_text"]
     new = [T.StructField(s, T.LongType() if i < 2 else T.DoubleType()) for i, s in enumerate(STATS)]
     schema = T.StructType([*kept, *new, T.StructField("kind", T.StringType())])
-    return given.select(*[f.name for f in kept], "_text").mapInArrow(_described, schema)
+    return given.select(*[f.name for f in kept], "__vx_text").mapInArrow(_described, schema)

@@ -158,7 +158,7 @@ def assign_splits(grouped: DataFrame, group: str, splits: dict[str, float], seed
     """
     names = list(splits)
     spark = grouped.sparkSession
-    groups = grouped.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
+    groups = grouped.select(group).where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_size"))
     groups = cut(groups)
     quota = deal([tuple(r) for r in groups.groupBy("_size").count().collect()], list(splits.values()))
     rows = []
@@ -171,4 +171,4 @@ def assign_splits(grouped: DataFrame, group: str, splits: dict[str, float], seed
     table = spark.createDataFrame(rows, "_size bigint, _from bigint, _to bigint, _split string")
     ranked = rank_and_running(groups, ["_size"], [F.xxhash64(F.col(group), F.lit(seed)), F.col(group)], rank="_rank")
     chosen = ranked.join(table, (ranked["_size"] == table["_size"]) & (F.col("_rank") > F.col("_from")) & (F.col("_rank") <= F.col("_to")))
-    return grouped.join(chosen.select(group, F.col("_split").alias(split)), group, "left")
+    return grouped.drop(split).join(chosen.select(group, F.col("_split").alias(split)), group, "left")

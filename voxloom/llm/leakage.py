@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.operators.lineage import spread
+
 #: Words on end that make a leak; shorter items must occur whole.
 WINDOW = 12
 #: Windows of evaluation items that are sent to all tasks at a time; more are done in blocks.
@@ -203,6 +205,7 @@ def leaks(corpus: DataFrame, items: DataFrame, doc: str = "doc_id", text: str =
     size = clean.agg(F.coalesce(F.sum(F.size(F.split("t", r"\s+"))), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / block_windows))
     docs = corpus.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("_t")).where("doc_id IS NOT NULL AND _t IS NOT NULL")
+    docs = spread(docs, "doc_id")
     schema = "doc_id bigint, item_id bigint, verbatim bigint, reworded bigint"
     sc = corpus.sparkSession.sparkContext
     out = None

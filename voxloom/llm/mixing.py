@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.operators.lineage import cut
+from voxloom.operators.lineage import cut, spread
 from voxloom.operators.ranking import rank_and_running
 
 #: A public byte-level vocabulary as ranks; any such file can be given instead.
@@ -109,7 +109,7 @@ def plan_mixes(
     wanted = sorted({r.source for r in goals})
     rows = documents.select("doc_id", source_key(F.col("source")).alias("source"), F.lit(1.0).alias("_w") if weight is None else weight.cast("double").alias("_w"), "text")
     rows = rows.where(F.col("source").isin(wanted) & F.col("doc_id").isNotNull() & (F.length("text") > 0))
-    sized = cut(count_tokens(rows, "text", tokenizer=tokenizer).where("n_tokens > 0").withColumn("_w", F.greatest(F.coalesce("_w", F.lit(0.0)), F.lit(1e-9))))
+    sized = cut(count_tokens(spread(rows, "doc_id"), "text", tokenizer=tokenizer).where("n_tokens > 0").withColumn("_w", F.greatest(F.coalesce("_w", F.lit(0.0)), F.lit(1e-9))))
     bins = (
         sized.groupBy("source", F.floor(F.log2("_w") * 16).alias("_bin"))
         .agg(F.sum("n_tokens").alias("t"), F.sum(F.col("n_tokens") * F.col("_w")).alias("tw"), F.max("_w").alias("w"))

@@ -14,6 +14,7 @@ from voxloom.llm.mixing import plan_mixes
 from voxloom.llm.quality import text_quality
 from voxloom.llm.splits import assign_splits, group_records
 from voxloom.llm.turns import speaker_turns
+from voxloom.operators.lineage import spread
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -39,7 +40,7 @@ def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
 
 def _identified(spark: SparkSession, sf: str) -> DataFrame:
     rows = _t(spark, sf, "text_segments").select("segment_id", "text", "lang")
-    return identify(rows, "text", fit_on_table(rows, "text", "lang"))
+    return identify(spread(rows, "segment_id"), "text", fit_on_table(rows, "text", "lang"))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -132,13 +133,13 @@ def p8_mix_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that aren't prose by most of their characters, with what they are."""
-    rows = text_quality(_t(spark, sf, "documents").select("doc_id", "text"), "text")
+    rows = text_quality(spread(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id"), "text")
     return rows.where("kind <> 'prose'").select("doc_id", "kind")
 
 
 def p9_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Text statistics of every document."""
-    return text_quality(_t(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
+    return text_quality(spread(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id"), "text").drop("text")
 
 
 QUERIES = {

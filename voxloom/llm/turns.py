@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.readings import SPEAKER_WORDS, milliseconds, speaker_key
 from voxloom.llm.sequence import neighbours, train, viterbi
+from voxloom.operators.lineage import spread
 from voxloom.operators.runs import merge_runs
 
 # Hesitation sounds of each language as patterns; none matches a word of that language.
@@ -158,8 +159,8 @@ def _made_up(n: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
 
 @lru_cache(maxsize=1)
 def model():
-    """The tagger's weights, trained on 1,500 made-up transcripts (fixed seed); a label can't break off before its end."""
-    own, before, after, trans = train(_made_up(1500, 3), N_CLASSES, N_TAGS, epochs=4)
+    """The tagger's weights, trained on 800 made-up transcripts (fixed seed); a label can't break off before its end."""
+    own, before, after, trans = train(_made_up(800, 3), N_CLASSES, N_TAGS, epochs=4)
     trans[LABEL, [SPEECH, FILLER, ANNOTATION, TIMESTAMP]] = -1e4
     after[EDGE, LABEL] = -1e4
     return own, before, after, trans
@@ -256,7 +257,7 @@ def speaker_turns(segments: DataFrame, speakers: DataFrame, block_ms: int = 600_
     keep = ["segment_id", "ingested_at", "audio_file", "start_ms", "speaker_id"]
     weights = model()
     schema = "segment_id bigint, ingested_at timestamp, audio_file string, start_ms bigint, speaker_id string, pieces array<struct<label:string,n:int,raw:int>>"
-    tagged = rows.mapInArrow(lambda batches: _pieces(batches, weights, keep), schema)
+    tagged = spread(rows, "segment_id").mapInArrow(lambda batches: _pieces(batches, weights, keep), schema)
     latest = (
         tagged.groupBy("segment_id")
         .agg(F.max(F.struct("ingested_at", "audio_file", "start_ms", "speaker_id", "pieces")).alias("r"))

@@ -99,12 +99,12 @@ def test_lint_and_snapshot(spark, tmp_path):
 
 
 def test_profiles(spark):
-    ddl = "profile_id int, dialect string, profile_version string, register_defaults map<string,double>, fallback_chain array<string>, phoneme_inventory array<string>, tts_defaults struct<speaking_rate:double,pitch_bias:double,pause_bias:double,filler_bias:double>, curation_targets struct<min_minutes_90:double,phoneme_coverage:double,target_dialect_mix:map<string,double>>"
-    ok = (1, "a", "1.0.0", {"formal": 0.3, "informal": 0.7}, ["b"], ["x"], (1.0, 0.0, 0.1, 0.05), (1.0, 0.9, None))
-    bad = (2, "a", "1.0", {"formal": 0.5}, ["b", "a"], [], (2.0, 0.0, float("nan"), 0.05), (1.0, 1.9, None))
-    none = (3, None, None, None, None, None, None, None)
+    ddl = "profile_id int, dialect string, profile_version string, register_defaults map<string,double>, fallback_chain array<string>, phoneme_inventory array<string>, tts_defaults struct<speaking_rate:double,pitch_bias:double,pause_bias:double,filler_bias:double>, curation_targets struct<min_minutes_90:double,phoneme_coverage:double,target_dialect_mix:map<string,double>>, tts_strategy string"
+    ok = (1, "a", "1.0.0", {"formal": 0.3, "informal": 0.7}, ["b"], ["x"], (1.0, 0.0, 0.1, 0.05), (1.0, 0.9, None), "grouped")
+    bad = (2, "a", "1.0", {"formal": 0.5}, ["b", "a"], [], (2.0, 0.0, float("nan"), 0.05), (1.0, 1.9, None), "cloud")
+    none = (3, None, None, None, None, None, None, None, None)
     got = sorted((r.profile_id, r.code) for r in validate.profile_issues(spark.createDataFrame([ok, bad, none], ddl), "profile_id").collect())
-    assert got == [(2, "INVENTORY"), (2, "RANGE"), (2, "RANGE"), (2, "RANGE"), (2, "REGISTER_SUM"), (2, "SELF_FALLBACK"), (2, "SEMVER"), (3, "INVENTORY"), (3, "SEMVER")]
+    assert got == [(2, "INVENTORY"), (2, "RANGE"), (2, "RANGE"), (2, "RANGE"), (2, "REGISTER_SUM"), (2, "SELF_FALLBACK"), (2, "SEMVER"), (2, "STRATEGY"), (3, "INVENTORY"), (3, "SEMVER"), (3, "STRATEGY")]
 
 
 def test_summary(spark):

@@ -131,6 +131,17 @@ def test_streams_equal_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "d/out")).count() == base.count()
 
 
+def test_stateful_progress_ends_like_the_table(spark, tmp_path):
+    stage = F.when(F.col("event_type") == "purchase", "validate").otherwise("other")
+    base = spark.read.parquet(f"{SF}/events.parquet").select((F.col("event_id") % 40).alias("batch_id"), stage.alias("stage"), F.when(F.col("value") > 480, "bad").alias("error"))
+    base.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = ev.batch_progress(ev.stream_table(spark, str(tmp_path / "in"), base.schema, 1))
+    ev.run_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "update")
+    last = spark.read.parquet(str(tmp_path / "out")).groupBy("batch_id").agg(F.max_by("status", "n_events").alias("status"), F.max("n_events").alias("n"))
+    assert {r.batch_id: r.status for r in last.collect()} == {r.batch_id: r.status for r in ev.batch_status(base).collect()}
+    assert last.agg(F.sum("n")).first()[0] == base.count()
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()

@@ -31,7 +31,10 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt out by ``keys`` where it comes in fewer partitions than there are cores, else as it is.
 
     Small tables are often one file with one row group, which Spark reads in one task; work that is heavy per row would then
-    leave all other cores idle. Large tables already come in many partitions and are left alone.
+    leave all other cores idle. Large tables already come in many partitions and are left alone, and so is what comes out of
+    a shuffle, whose partitions aren't known before it has run.
     """
+    if "AdaptiveSparkPlan" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores // 2 else df

@@ -9,6 +9,7 @@ from voxloom.sources.readers import csv_rows, jsonl_tolerant, wav_headers
 
 SCORE_FIELDS = ("clarity", "alignment", "diarization", "transcript_accuracy", "validity", "shape", "total")
 SAMPLE_RATES = (22050, 24000)
+STRATEGIES = ("standalone", "grouped", "cloud_fallback")
 MIN_S, MAX_S = 1.5, 14.0
 
 
@@ -125,6 +126,7 @@ def profile_issues(profiles: DataFrame, key: str, version: str = "profile_versio
         issue("REGISTER_SUM", "register shares don't sum to 1", F.concat(at, F.lit(".register_defaults")), F.col("register_defaults").isNotNull() & ~F.coalesce(F.abs(total - 1) < 1e-6, F.lit(False))),
         issue("SELF_FALLBACK", "falls back to itself", F.concat(at, F.lit(".fallback_chain")), F.array_contains("fallback_chain", F.col("dialect"))),
         issue("INVENTORY", "no phonemes", F.concat(at, F.lit(".phoneme_inventory")), F.coalesce(F.size("phoneme_inventory"), F.lit(0)) <= 0),
+        issue("STRATEGY", "no known strategy", F.concat(at, F.lit(".tts_strategy")), ~F.coalesce(F.col("tts_strategy").isin(*STRATEGIES), F.lit(False))),
         *[issue("RANGE", f"{c} not from {a} to {b}", F.concat(at, F.lit(f".{c}")), outside(c, a, b)) for c, (a, b) in ranges.items()],
     ]
     return issues(profiles, found, [key])

@@ -193,3 +193,26 @@ ORACLE = {
     "audio_lane": "SELECT CAST(sum(n) AS BIGINT) AS clips, round(sum(l) / 3600, 6) AS hours FROM (SELECT end_s - start_s AS l, ceil((end_s - start_s) / 12.0) AS n FROM (SELECT DISTINCT segment_id, start_s, end_s FROM audio_segments)) WHERE l >= 2.0 AND n > 0",
     "batch_estimate": "SELECT round(sum(end_s - start_s) / 3600, 6) AS hours, round(sum(end_s - start_s) * 16000 / 1073741824, 6) AS gib FROM audio_segments WHERE end_s > start_s",
 }
+
+_RANGES = (("tts_defaults.speaking_rate", 0.5, 1.8), ("tts_defaults.pitch_bias", -12, 12), ("tts_defaults.pause_bias", 0, 1), ("tts_defaults.filler_bias", 0, 1), ("curation_targets.phoneme_coverage", 0, 1))
+ORACLE |= {
+    "profile_violations": " UNION ALL ".join(
+        f"SELECT profile_id, '{code}' AS code, profile_id || '.{path}' AS path FROM language_profiles WHERE {when}"
+        for code, path, when in (
+            ("SEMVER", "version", r"NOT coalesce(regexp_full_match(profile_version, '[0-9]+\.[0-9]+\.[0-9]+'), false)"),
+            ("REGISTER_SUM", "register_defaults", "register_defaults IS NOT NULL AND NOT coalesce(abs(list_sum(map_values(register_defaults)) - 1) < 1e-6, false)"),
+            ("SELF_FALLBACK", "fallback_chain", "list_contains(fallback_chain, dialect)"),
+            ("INVENTORY", "phoneme_inventory", "coalesce(len(phoneme_inventory), 0) = 0"),
+            ("STRATEGY", "tts_strategy", "coalesce(tts_strategy, '') NOT IN ('standalone', 'grouped', 'cloud_fallback')"),
+            *(("RANGE", c, f"NOT {c} BETWEEN {a} AND {b}") for c, a, b in _RANGES),
+        )
+    ),
+    "variant": f"""WITH s AS (SELECT override_id, ipa, arg_max(dialect, (confidence, CASE dialect WHEN 'American' THEN 3 WHEN 'British' THEN 2 ELSE 1 END)) AS d, max(confidence) AS c FROM ({_DIALECTS}) GROUP BY 1, 2),
+        o AS (SELECT DISTINCT override_id, dialect, ipa, translate(replace(ipa, 'ɚ', 'əɹ'), 'ˈˌ', '') AS norm FROM g2p_overrides)
+        SELECT o.override_id, CASE WHEN o.dialect IS NULL AND c > 0.7 THEN lower(d) ELSE 'standard' END AS variant,
+        'Normalized from ' || chr(39) || o.ipa || chr(39) || ' to ' || chr(39) || norm || chr(39) || '. ' || CASE WHEN {_RHOTIC.format('norm')} THEN 'Features: rhoticity: True' ELSE '' END AS note, 'audio_files/word_' || o.override_id || '.mp3' AS audio
+        FROM o LEFT JOIN s ON s.override_id = o.override_id AND s.ipa = o.ipa""",
+    "grounding": """SELECT CASE WHEN d.doc_ref IS NULL THEN 'no document' WHEN a IS NULL OR b IS NULL OR a < 0 OR a >= b THEN 'offsets' WHEN b > length(d.text) THEN 'out of bounds' ELSE 'other text' END AS reason, count(*) AS n
+        FROM (SELECT segment_id, text, regexp_replace(source_ref.doc_id, 'raw0*', 'doc000000') AS ref, source_ref.start_char AS a, source_ref.end_char AS b FROM text_segments) s LEFT JOIN documents d ON s.ref = d.doc_ref
+        WHERE d.doc_ref IS NULL OR a IS NULL OR b IS NULL OR a < 0 OR a >= b OR b > length(d.text) OR substring(d.text, a + 1, b - a) IS DISTINCT FROM s.text GROUP BY 1""",
+}

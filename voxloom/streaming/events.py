@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,3 +59,19 @@ def batch_status(events: DataFrame) -> DataFrame:
         F.when(F.max(F.col("error").isNotNull().cast("int")) == 1, "failed").when(F.max((F.col("stage") == "validate").cast("int")) == 1, "succeeded").otherwise("running").alias("status"),
         F.array_sort(F.collect_set("stage")).alias("stages"),
     )
+
+
+def batch_progress(events: DataFrame) -> DataFrame:
+    """(batch_id, status, n_events) of a stream of (batch_id, stage, error), by state kept per batch: a batch fails for good
+    with its first error and has succeeded with its stage ``validate``. Every change comes out again (update mode)."""
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        n, failed, done = state.get if state.exists else (0, False, False)
+        for f in frames:
+            n, failed, done = n + len(f), failed or bool(f["error"].notna().any()), done or bool((f["stage"] == "validate").any())
+        state.update((n, failed, done))
+        yield pd.DataFrame({"batch_id": [key[0]], "status": ["failed" if failed else "succeeded" if done else "running"], "n_events": [n]})
+
+    return events.select("batch_id", "stage", "error").groupBy("batch_id").applyInPandasWithState(
+        step, "batch_id bigint, status string, n_events bigint", "n bigint, failed boolean, done boolean", "update", "NoTimeout"
+    )

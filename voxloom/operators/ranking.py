@@ -27,10 +27,11 @@ def rank_and_running(
     the partitioned rows are written to the checkpoint folder. Null keys form a group of their own; nulls of ``value`` count 0.
     Columns named like the new ones are replaced.
     """
+    # Finding the ranges takes a pass of its own, so what leads to ``df`` is cut off first and runs once.
     df = df.drop(rank, *([running] if value else []))
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = cut(
-        df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("__vx_part", F.spark_partition_id())
+        cut(df).repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("__vx_part", F.spark_partition_id())
     )
     amount = F.coalesce(F.col(value), F.lit(0)) if value else F.lit(0)
     inside = Window.partitionBy("__vx_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

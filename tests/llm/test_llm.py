@@ -282,10 +282,10 @@ def test_mix_plan(spark):
     t = spark.createDataFrame([("m", "news_a", 0.5, 3), ("m", "Tiny", 0.5, 4), ("m", "absent", 0.1, 4), ("n", "news_a", 1.0, 2), (None, "tiny", 1.0, 1), ("m", "x", None, 1)], "mix_name string, source string, target_share double, max_repeats int")
     plan, shares = mixing.plan_mixes(d, t)
     s = {(r.mix_name, r.source): r for r in shares.collect()}
-    assert s["m", "absent"].used_tokens == 0 and s["m", "tiny"].limited and s["m", "tiny"].used_tokens == 4 * s["m", "tiny"].available_tokens
-    total = s["m", "newsa"].available_tokens + s["m", "tiny"].available_tokens
-    assert abs(s["m", "newsa"].used_tokens + s["m", "tiny"].used_tokens - total) < 60
-    assert s["n", "newsa"].actual_share == 1.0 and s["n", "newsa"].used_tokens == s["n", "newsa"].available_tokens
+    assert s["m", "absent"].used_tokens == 0 and s["m", "Tiny"].limited and s["m", "Tiny"].used_tokens == 4 * s["m", "Tiny"].available_tokens
+    total = s["m", "news_a"].available_tokens + s["m", "Tiny"].available_tokens
+    assert abs(s["m", "news_a"].used_tokens + s["m", "Tiny"].used_tokens - total) < 60
+    assert s["n", "news_a"].actual_share == 1.0 and s["n", "news_a"].used_tokens == s["n", "news_a"].available_tokens
     assert plan.where("copies > 4 OR copies < 1").count() == 0 and plan.groupBy("mix_name", "doc_id").count().where("count > 1").count() == 0
     again, _ = mixing.plan_mixes(d.repartition(7), t)
     assert rows(again) == rows(plan)

@@ -96,14 +96,14 @@ def plan_mixes(
 
     Spellings of a source are one source. Documents without source, id or tokens are in no mix; targets without mix, source,
     positive share or repeats are left out; of a source named twice in a mix the shares add up and the largest repeats hold.
-    Sources without documents get 0. plan: mix_name, doc_id, source, n_tokens, copies (at least 1).
+    Sources without documents get 0. Results name a source as the targets write it. plan: mix_name, doc_id, source, n_tokens, copies (at least 1).
     """
     spark = documents.sparkSession
     goals = (
-        targets.select("mix_name", source_key(F.col("source")).alias("source"), "target_share", "max_repeats")
+        targets.select("mix_name", source_key(F.col("source")).alias("source"), F.trim("source").alias("label"), "target_share", "max_repeats")
         .where("mix_name IS NOT NULL AND source IS NOT NULL AND target_share > 0 AND max_repeats > 0 AND NOT isnan(target_share)")
         .groupBy("mix_name", "source")
-        .agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("cap"))
+        .agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("cap"), F.min("label").alias("label"))
         .collect()
     )
     wanted = sorted({r.source for r in goals})
@@ -126,8 +126,8 @@ def plan_mixes(
         amounts = allocate([(r.share, r.cap * held.get(r.source, 0.0)) for r in own], float(total))
         for r, amount in zip(own, amounts, strict=True):
             f = scale_for(by[r.source], r.cap, amount) if amount > 0 else 0.0
-            settings.append((mix, r.source, float(r.share), int(r.cap), int(held.get(r.source, 0)), float(amount), f))
-    config = spark.createDataFrame(settings, "mix_name string, source string, target_share double, cap int, available bigint, amount double, f double")
+            settings.append((mix, r.source, r.label, float(r.share), int(r.cap), int(held.get(r.source, 0)), float(amount), f))
+    config = spark.createDataFrame(settings, "mix_name string, source string, label string, target_share double, cap int, available bigint, amount double, f double")
     small = F.broadcast(config) if len(settings) <= 100_000 else config
     draws = sized.join(small, "source").where("f > 0").withColumn("_e", F.least(F.col("cap").cast("double"), F.col("f") * F.col("_w")))
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", "mix_name", F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
@@ -135,9 +135,8 @@ def plan_mixes(
         draws.withColumn("_sure", F.floor("_e").cast("long"))
         .withColumn("_pi", F.col("_e") - F.col("_sure"))
         .withColumn("_q", F.when(F.col("_pi") > 0, (u / (1 - u)) / (F.col("_pi") / (1 - F.col("_pi")))))
-        .select("mix_name", "source", "doc_id", "n_tokens", "amount", "_sure", "_q")
+        .select("mix_name", "source", "label", "doc_id", "n_tokens", "amount", "_sure", "_q")
     )
-    draws = cut(draws)
     certain = draws.groupBy("mix_name", "source").agg(F.sum(F.col("_sure") * F.col("n_tokens")).alias("_certain"))
     ranked = rank_and_running(draws, ["mix_name", "source"], [F.col("_q").asc_nulls_last(), F.col("doc_id").asc()], value="n_tokens")
     plan = (
@@ -145,16 +144,16 @@ def plan_mixes(
         .withColumn("_more", (F.col("_q").isNotNull() & (F.col("running") - F.col("n_tokens") / 2 <= F.col("amount") - F.col("_certain"))).cast("long"))
         .withColumn("copies", (F.col("_sure") + F.col("_more")).cast("int"))
         .where("copies > 0")
-        .select("mix_name", "doc_id", "source", "n_tokens", "copies")
+        .select("mix_name", "doc_id", F.col("label").alias("source"), "n_tokens", "copies")
     )
-    used = plan.groupBy("mix_name", "source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("used"))
+    used = plan.groupBy("mix_name", F.col("source").alias("label")).agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("used"))
     totals = used.groupBy("mix_name").agg(F.sum("used").alias("_all"))
     shares = (
-        config.join(used, ["mix_name", "source"], "left")
+        config.join(used, ["mix_name", "label"], "left")
         .join(totals, "mix_name", "left")
         .select(
             "mix_name",
-            "source",
+            F.col("label").alias("source"),
             "target_share",
             F.col("cap").alias("max_repeats"),
             F.col("available").alias("available_tokens"),

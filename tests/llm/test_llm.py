@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxloom.llm import capping, languages, leakage, lookalike, mixing, quality, queries, splits, turns
+from voxloom.llm import batches, capping, languages, leakage, lookalike, mixing, quality, queries, splits, turns
 from voxloom.llm.sequence import train, viterbi
 
 SF = "/root/testdata/sf0.001"
@@ -18,6 +18,16 @@ def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
+def test_batches_are_cut_by_size():
+    import pyarrow as pa
+
+    b = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(["ab", None, "c" * 9, "", "dd", "ee"])], ["k", "t"])
+    got = [x.column(0).to_pylist() for x in batches.by_size([b, b.slice(0, 0)], "t", 4)]
+    assert got == [[0, 1], [2, 3], [4, 5]] or sum(got, []) == list(range(6))
+    assert all(len(x) == 1 or sum(len(b.column(1)[i].as_py() or "") for i in x if i != 2) <= 4 for x in got)
+    assert [x.column(0).to_pylist() for x in batches.by_size([b.slice(2, 3)], 1, 100)] == [[2, 3, 4]]
+
+
 def test_viterbi_against_all_paths():
     import itertools
 

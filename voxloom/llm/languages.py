@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxloom.functions.languages import language_code
+from voxloom.llm.batches import by_size
 from voxloom.llm.sequence import viterbi
 
 # The languages, by family of closely related ones.
@@ -179,7 +180,7 @@ def _identify(batches: Iterator[pa.RecordBatch], model: Identifier) -> Iterator[
     np.fill_diagonal(trans, 0)
     known: dict[str, int] = {}
     table = np.zeros((0, s), np.float32)
-    for batch in batches:
+    for batch in by_size(batches, "__vx_text"):
         rest = [c for c in batch.schema.names if c != "__vx_text"]
         texts = [(x or "").replace(_END, " ") for x in batch.column("__vx_text").to_pylist()]
         joined = fold(_END.join(texts) + _END)

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.llm.batches import by_size
 from voxloom.operators.lineage import spread
 
 #: Words on end that make a leak; shorter items must occur whole.
@@ -134,7 +135,7 @@ def slots_agree(mine: list[str], theirs: list[str]) -> bool:
 
 def _matches(batches: Iterator[pa.RecordBatch], t: Templates) -> Iterator[pa.RecordBatch]:
     longest = max(t.lengths, default=0)
-    for batch in batches:
+    for batch in by_size(batches, 1):
         docs = batch.column(0)
         texts = [(x or "").replace(_BREAK, " ") for x in batch.column(1).to_pylist()]
         joined = unicodedata.normalize("NFC", _BREAK.join(texts) + _BREAK)

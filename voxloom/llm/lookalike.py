@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxloom.llm.batches import by_size
 from voxloom.operators.lineage import cut
 
 # Letters of other scripts that look like a Latin or IPA letter, and the letter they look like.
@@ -104,7 +105,7 @@ def canonical(texts: Sequence[str | None], phonetic: bool = True) -> list[str |
 
 
 def _canonical_batches(batches: Iterator[pa.RecordBatch], phonetic: bool) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_size(batches, "__vx_text"):
         rest = [c for c in batch.schema.names if c != "__vx_text"]
         form = pa.array(canonical(batch.column("__vx_text").to_pylist(), phonetic), pa.string())
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), batch.column("__vx_text"), form], [*rest, "__vx_text", "__vx_form"])

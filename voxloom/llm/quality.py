@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxloom.llm.batches import by_size
+
 # Common function words of each language.
 COMMON = {
     "ak": "no wɔ ho a mu so bi na ne sɛ ɛne yi hɔ biara nyinaa ase efi ɛfa nanso efisɛ enti",
@@ -280,7 +282,7 @@ def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in by_size(batches, "__vx_text"):
         rest = [c for c in batch.schema.names if c != "__vx_text"]
         texts = batch.column("__vx_text").to_pylist()
         stats, kinds = describe([t or "" for t in texts])

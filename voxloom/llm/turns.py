@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions.readings import SPEAKER_WORDS, milliseconds, speaker_key
+from voxloom.llm.batches import by_size
 from voxloom.llm.sequence import neighbours, train, viterbi
 from voxloom.operators.lineage import spread
 from voxloom.operators.runs import merge_runs
@@ -169,7 +170,7 @@ def model():
 def _pieces(batches: Iterator[pa.RecordBatch], weights, keep: list[str]) -> Iterator[pa.RecordBatch]:
     own, before_w, after_w, trans = weights
     known: dict[str, tuple[int, int, int]] = {}
-    for batch in batches:
+    for batch in by_size(batches, "_text"):
         texts = batch.column("_text").to_pylist()
         langs = np.array([LANGS.index(x) if x in FILLERS else -1 for x in batch.column("_lang").to_pylist()], np.int64)
         joined = unicodedata.normalize("NFC", _END.join((x or "").replace(_END, " ") for x in texts) + _END)

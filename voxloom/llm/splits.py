@@ -40,10 +40,23 @@ def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    chunks = [(x.column(0).to_numpy(zero_copy_only=False), x.column(1).to_numpy(zero_copy_only=False)) for x in batches]
-    if chunks:
+    """Forests of a task's links; a task with more than twice TASK_LINKS builds several, so that memory stays bounded."""
+    chunks: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def grown() -> pa.RecordBatch:
         node, root = local_forest(np.concatenate([c[0] for c in chunks]), np.concatenate([c[1] for c in chunks]))
-        yield pa.RecordBatch.from_arrays([pa.array(node, pa.string()), pa.array(root, pa.string())], ["node", "root"])
+        return pa.RecordBatch.from_arrays([pa.array(node, pa.string()), pa.array(root, pa.string())], ["node", "root"])
+
+    held = 0
+    for b in batches:
+        chunks.append((b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)))
+        held += b.num_rows
+        if held > 2 * TASK_LINKS:
+            yield grown()
+            chunks.clear()
+            held = 0
+    if chunks:
+        yield grown()
 
 
 def components(links: DataFrame, a: str, b: str, task_links: int = TASK_LINKS) -> DataFrame:
@@ -65,8 +78,8 @@ def components(links: DataFrame, a: str, b: str, task_links: int = TASK_LINKS) -
     current = cut(current.mapInArrow(_forests, "node string, root string").distinct())
     size = current.count()
     while True:
-        tasks = math.ceil(size / task_links)
-        if tasks <= 1:
+        tasks = max(1, math.ceil(size / task_links))
+        if tasks <= 1 and size <= TASK_LINKS:
             return current.coalesce(1).mapInArrow(_forests, "node string, root string")
         forest = current.repartition(tasks, "node").mapInArrow(_forests, "node string, root string").distinct()
         up = forest.where(F.col("node") != F.col("root")).groupBy(F.col("node").alias("root")).agg(F.min("root").alias("_up"))

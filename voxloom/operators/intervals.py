@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.lineage import cut
+
 #: Intervals are merged within blocks of this length, so that one busy key is shared out over many tasks.
 BLOCK_MS = 900_000
 
@@ -39,7 +41,8 @@ def periods_and_gaps(df: DataFrame, keys: Sequence[str], start: str, end: str, b
     for k in keys:
         rows = rows.where(F.col(k).isNotNull())
     by = [*keys, "__vx_block"]
-    rows = rows.withColumn("__vx_block", F.floor(F.col(start) / block_ms))
+    # Sessions and the ends of blocks both need the rows; what leads to them is heavier than writing these few columns.
+    rows = cut(rows.withColumn("__vx_block", F.floor(F.col(start) / block_ms)))
     inside = Window.partitionBy(*by).orderBy(start)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     along = Window.partitionBy(*keys).orderBy("__vx_block")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.lineage import cut
+
 
 def merge_runs(df: DataFrame, group: str, block: Column, order: Sequence[str], value: str, total: str, no: str) -> DataFrame:
     """Neighbouring rows of a ``group`` with the same ``value`` become one row with the sum of ``total``, numbered from 1.
@@ -24,6 +26,8 @@ def merge_runs(df: DataFrame, group: str, block: Column, order: Sequence[str], v
         .groupBy(group, "_block", "_run")
         .agg(F.first(value).alias(value), F.sum(total).alias(total))
     )
+    # Both the blocks and the result need the runs; what leads to them is heavier than writing them.
+    runs = cut(runs)
     along = Window.partitionBy(group).orderBy("_block")
     blocks = (
         runs.groupBy(group, "_block")

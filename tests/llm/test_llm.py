@@ -123,6 +123,25 @@ def test_components(spark, task_links):
     assert got == {node: least[root] for node, root in want.items()}
 
 
+def test_components_among_many_lone_nodes(spark, monkeypatch):
+    """A component that isn't settled after one level stays whole when lone nodes alone fill more than two tasks."""
+    from pyspark import cloudpickle
+
+    chain = [f"n{i:03}" for i in range(56)]
+    random.Random(1).shuffle(chain)
+    links = [*zip(chain, chain[1:]), *((f"s{i:04}", f"s{i:04}") for i in range(900))]
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    cloudpickle.register_pickle_by_value(splits)  # the workers get the small bound too
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+        monkeypatch.setattr(splits, "TASK_LINKS", 60)
+        got = rows(splits.components(spark.createDataFrame(links, "u string, v string"), "u", "v", 60))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        cloudpickle.unregister_pickle_by_value(splits)
+    assert got == sorted([(n, "n000") for n in chain] + [(n, n) for n, _ in links[55:]])
+
+
 def test_groups_of_records(spark):
     data = [(1, "s1", "r1"), (2, None, "r1"), (3, "s2", "r2"), (4, None, "r3"), (5, None, None), (6, "s1", "r9"), (6, "s2", "r8"), (1, "s1", "r1"), (None, "s1", "r1")]
     df = spark.createDataFrame(data, "id long, s string, w string")

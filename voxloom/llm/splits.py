@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -39,56 +39,62 @@ def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return names, names[np.array(parent, np.int64)] if len(names) else names
 
 
-def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Forests of a task's links; a task with more than twice TASK_LINKS builds several, so that memory stays bounded."""
-    chunks: list[tuple[np.ndarray, np.ndarray]] = []
+def _forests(most: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Forests of a task's links; a task with more than ``most`` builds several, which a later level has to merge."""
 
-    def grown() -> pa.RecordBatch:
-        node, root = local_forest(np.concatenate([c[0] for c in chunks]), np.concatenate([c[1] for c in chunks]))
-        return pa.RecordBatch.from_arrays([pa.array(node, pa.string()), pa.array(root, pa.string())], ["node", "root"])
+    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks: list[tuple[np.ndarray, np.ndarray]] = []
 
-    held = 0
-    for b in batches:
-        chunks.append((b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)))
-        held += b.num_rows
-        if held > 2 * TASK_LINKS:
+        def grown() -> pa.RecordBatch:
+            node, root = local_forest(np.concatenate([c[0] for c in chunks]), np.concatenate([c[1] for c in chunks]))
+            return pa.RecordBatch.from_arrays([pa.array(node, pa.string()), pa.array(root, pa.string())], ["node", "root"])
+
+        held = 0
+        for b in batches:
+            chunks.append((b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)))
+            held += b.num_rows
+            if held > most:
+                yield grown()
+                chunks.clear()
+                held = 0
+        if chunks:
             yield grown()
-            chunks.clear()
-            held = 0
-    if chunks:
-        yield grown()
+
+    return forests
 
 
 def components(links: DataFrame, a: str, b: str, task_links: int = TASK_LINKS) -> DataFrame:
     """(node, root): every node that occurs in a link, with the smallest node (as a string) that it hangs together with.
 
-    Each task builds a union-find forest of its links and passes on one link per node, node to root. The forests are merged
-    level by level in ever fewer tasks of at most about ``task_links`` links, dealt out by node so that trees sharing a node
-    meet; once everything fits one task, that ends it. Beyond that size no task takes more: levels go on, each followed by
-    one step from roots to the roots of roots (a join), until no node has two roots and no root hangs on another node.
-    Levels are written to the checkpoint folder; only their sizes come to the driver. Links with a null end are ignored; a
-    node linked to itself is a tree.
+    Each task builds a union-find forest of its links and passes on one link per node, node to root. Nodes that are their own
+    root are set aside; the links of the others are merged level by level in ever fewer tasks of at most about ``task_links``
+    links, dealt out by node so that trees sharing a node meet; once they fit one task, that ends it with a single forest.
+    Beyond that size no task takes more: levels go on, each followed by one step from roots to the roots of roots (a join),
+    until no node has two roots and no root hangs on another node. Levels are written to the checkpoint folder; only their
+    sizes come to the driver. Links with a null end are ignored; a node linked to itself is a tree.
     """
+    made = "node string, root string"
+    most = 2 * task_links
     current = (
         links.select(F.col(a).cast("string").alias("_a"), F.col(b).cast("string").alias("_b"))
         .where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
         .select(F.greatest("_a", "_b").alias("node"), F.least("_a", "_b").alias("root"))
         .distinct()
     )
-    current = cut(current.mapInArrow(_forests, "node string, root string").distinct())
-    size = current.count()
-    while True:
-        tasks = max(1, math.ceil(size / task_links))
-        if tasks <= 1 and size <= TASK_LINKS:
-            return current.coalesce(1).mapInArrow(_forests, "node string, root string")
-        forest = current.repartition(tasks, "node").mapInArrow(_forests, "node string, root string").distinct()
-        up = forest.where(F.col("node") != F.col("root")).groupBy(F.col("node").alias("root")).agg(F.min("root").alias("_up"))
+    current = cut(current.mapInArrow(_forests(most), made).distinct())
+    own = current.where("node = root")
+    current = current.where("node != root")
+    while (size := current.count()) > task_links:
+        forest = current.repartition(math.ceil(size / task_links), "node").mapInArrow(_forests(most), made).where("node != root").distinct()
+        up = forest.groupBy(F.col("node").alias("root")).agg(F.min("root").alias("_up"))
         current = cut(forest.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")).distinct())
         roots = current.groupBy("node").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-        hanging = current.where(F.col("node") != F.col("root")).select(F.col("node").alias("root")).distinct()
+        hanging = current.select(F.col("node").alias("root")).distinct()
         if roots.where("least != most").isEmpty() and current.join(hanging, "root", "left_semi").isEmpty():
-            return current
-        size = current.where(F.col("node") != F.col("root")).count()
+            break
+    else:
+        current = current.repartition(1).mapInArrow(_forests(math.inf), made)
+    return current.unionByName(own).groupBy("node").agg(F.min("root").alias("root"))
 
 
 def group_records(records: DataFrame, record: str, strong: str, weak: str, group: str = "group_key") -> DataFrame:

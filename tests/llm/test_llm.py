@@ -356,6 +356,19 @@ def test_kinds(kind):
     assert got == [kind] * len(TEXTS[kind])
 
 
+def test_statistics_of_lines_that_are_plainly_prose():
+    at = quality.STATS.index
+    indented = "\n".join("  " * (i % 2) + PROSE for i in range(8))
+    far = "\n".join("  " * (i % 6 == 0) + PROSE for i in range(36))
+    rows_of = "\n".join(f"the old road to {x}|near the end of {y}|some of the {y}" for x, y in [("road", "moon"), ("yam", "salt"), ("sea", "drum")])
+    (a, f, r), kinds = quality.describe([indented, far, rows_of])
+    assert a[at("indent_period")] == pytest.approx(0.75) and f[at("indent_period")] == pytest.approx(30 / 36)
+    assert r[at("delimiter_alignment")] == 1.0 and kinds == ["prose", "prose", "prose"]
+    few = "\n".join(f"the bread {x} salt {x} drum|{x} yam at {x} moon|{x} road {x}" for x in ("kofa", "milo", "tano"))
+    code = "the of a an and " + "Zm9vYmFyYmF6cXV4" * 4
+    assert quality.describe([few, "go to go go at go of", code])[1] == ["table", "junk", "junk"]
+
+
 def test_quality_columns(spark):
     df = spark.createDataFrame([(1, "Two words.", "mine"), (2, None, "mine"), (3, "  \n ", "mine"), (4, PROSE + " " + "word " * 80_000, "mine")], "id long, text string, kind string")
     got = {r.id: r for r in quality.text_quality(df, "text").collect()}

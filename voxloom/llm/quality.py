@@ -109,6 +109,17 @@ def _autocorrelation(x: np.ndarray, lag: int) -> float:
     return 1.0 if v == 0 else float((d[:-lag] * d[lag:]).sum() / v)
 
 
+def _period(x: np.ndarray) -> float:
+    """The highest autocorrelation at any lag that leaves two pairs."""
+    n = len(x)
+    d = x - x.mean()
+    v = float((d * d).sum())
+    if v == 0 or n < 3:
+        return 1.0 if n > 2 else 0.0
+    power = np.abs(np.fft.rfft(d, 2 * n)) ** 2
+    return float(np.fft.irfft(power, 2 * n)[1 : n - 1].max() / v)
+
+
 def aligned_rows(lines: list[str]) -> list[bool]:
     """Which lines are rows of a table, by vertical alignment of delimiters.
 
@@ -162,6 +173,12 @@ def _line_kind(line: str, is_row: bool, words: int, common: int, strange: int, c
     return PROSE, False
 
 
+def _plain(line: str) -> bool:
+    """Whether no token can make up more than half of the line and none looks like code."""
+    tokens = [t for t in line.split() if len(t) > 1 or t.isalnum()]
+    return 2 * len(set(tokens)) >= len(tokens) + 2 and not any(len(t) >= 24 or (len(t) >= 12 and not t.isalpha()) for t in tokens)
+
+
 def _settle(lines: list[str], kinds: list[int], unsure: list[bool]) -> None:
     """Short lines without a marker: the end of a wrapped paragraph, a heading, or an item among items."""
     filled = sum(k >= 0 for k in kinds)
@@ -189,8 +206,8 @@ STATS = (
 def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
     """(one row of STATS per text, kinds). The kind holds most characters; null for a blank text.
 
-    Characters and words of a whole batch are counted per line by table lookups; only lines with delimiters, markers or too
-    few common words are looked at one by one.
+    Characters, words and indentation of a whole batch are counted per line by table lookups; only lines with delimiters or
+    too few common words are looked at one by one. Lines passed over can be neither rows of a table nor junk.
     """
     n = len(texts)
     docs = [t.replace(_BREAK, " ").replace("\r", "\n").split("\n") for t in texts]
@@ -217,15 +234,17 @@ def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
     codes = codes[~stop]
     words, common, strange = (np.bincount(line_of, minlength=m), *(np.bincount(line_of, weights=feature[codes, k], minlength=m).astype(np.int64) for k in (1, 2)))
 
-    wide = np.array(["  " in s.strip() for s in lines], bool)
-    easy = (words >= 6) & (common >= 0.15 * words) & (strange <= 0.3 * words) & (marks < 3) & ~wide & (solid >= 0.7 * chars) & (odd <= 0.1 * chars)
+    wide = np.array(["  " in s and bool(_SPACES.search(s.strip())) for s in lines], bool)
+    easy = (words >= 6) & (common >= 0.15 * words) & (strange <= 0.3 * words) & (marks < 2) & ~wide & (solid >= 0.7 * chars) & (odd <= 0.1 * chars)
+    easy[easy] = [_plain(lines[i]) for i in np.flatnonzero(easy)]
     cells = np.bincount(doc, weights=(marks >= 2) | wide, minlength=n) >= 2
     kind = np.where(chars == 0, -1, np.where(easy, PROSE, -2))
     row = np.zeros(m, bool)
     ended = np.array([_ends(s) for s in lines], bool) & (chars > 0)
     unsure = np.zeros(m, bool)
-    indent = np.zeros(m)
-    for d in np.flatnonzero(np.bincount(doc, weights=kind == -2, minlength=n) > 0) if m else ():
+    ink = np.r_[np.flatnonzero((bits & 2) == 0), len(bits)]
+    indent = np.minimum(ink[np.searchsorted(ink, begin)] - begin, size) + 8 * np.array([bool(_MARKER.match(s)) for s in lines], np.int64)
+    for d in np.flatnonzero(cells | (np.bincount(doc, weights=kind == -2, minlength=n) > 0)) if m else ():
         a, b = first[d], first[d] + per_doc[d]
         own = lines[a:b]
         if cells[d]:
@@ -233,8 +252,6 @@ def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
         for i in range(a, b):
             if kind[i] == -2:
                 kind[i], unsure[i] = _line_kind(lines[i], row[i], words[i], common[i], strange[i], chars[i], solid[i], odd[i])
-            s = lines[i]
-            indent[i] = len(s) - len(s.lstrip()) + 8 * bool(_MARKER.match(s))
         if unsure[a:b].any():
             settled = kind[a:b].tolist()
             _settle(own, settled, unsure[a:b].tolist())
@@ -275,7 +292,7 @@ def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
         out[d, 8] = _autocorrelation(x, 1)
         y = indent[own][some[own]]
         if y.any():
-            out[d, 7] = max(_autocorrelation(y, k) for k in range(1, 5))
+            out[d, 7] = _period(y)
     out[:, 9:] = share
     kinds = [None if f == 0 else KINDS[PROSE] if p[PROSE] > 0.5 else KINDS[1 + int(p[1:].argmax())] for f, p in zip(filled, share, strict=True)]
     return out, kinds

@@ -356,6 +356,23 @@ def test_kinds(kind):
     assert got == [kind] * len(TEXTS[kind])
 
 
+def test_layout_decides_where_words_do_not():
+    def items(n, words=5):
+        r = random.Random(n)
+        return [" ".join("".join(r.choice("bdfgklmnrt") + r.choice("aeiou") for _ in range(2 + r.randrange(2))) for _ in range(words)) for _ in range(n)]
+
+    nested = "\n".join("    " * (i % 3 > 0) + x for i, x in enumerate(items(9)))
+    block = "Sela:\n" + "\n".join("  " + x for x in items(5, 6))
+    pairs = "\n".join(x + (" " + "kofa milo tano sela bitu" if i % 2 else "") for i, x in enumerate(items(12)))
+    continued = "\n".join(f"- {a}\n  {b}" for a, b in zip(items(6, 3), items(6, 7)))
+    assert quality.describe([nested, block, pairs, continued])[1] == ["list"] * 4
+    flat = "\n".join(items(11, 7))
+    speech = "\n".join("  " + x.replace(" ", ". ", 1) for x in items(8, 6))
+    same = "\n".join(items(1) * 5)
+    verse = "\n".join("  " * (i % 2) + PROSE.lower().rstrip(".") for i in range(8))
+    assert quality.describe([flat, speech, same, verse])[1] == ["prose"] * 4
+
+
 def test_statistics_of_lines_that_are_plainly_prose():
     at = quality.STATS.index
     indented = "\n".join("  " * (i % 2) + PROSE for i in range(8))

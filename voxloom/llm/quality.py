@@ -32,6 +32,7 @@ MOJIBAKE = frozenset("ÃÂ¤¶»¼½¾¿™€œŸžï�ðŸ¢£¥¦§¨©¬®
 
 KINDS = ("prose", "list", "table", "junk")
 PROSE, LIST, TABLE, JUNK = range(4)
+UNDECIDED = 4  # a line that only the layout around it tells
 
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 _TOKEN = re.compile(r"\n|[^\W_]+(?:['’-][^\W_]+)*")
@@ -44,6 +45,7 @@ _CLUSTER = re.compile(r"[bcdfghjklmnpqrstvwxz]{6,}", re.I)
 _CODE = re.compile(r"[A-Za-z0-9+/=_-]{24,}|(?=[0-9a-f]*\d)(?=\d*[a-f])[0-9a-f]{12,}", re.I)
 _DELIMITERS = ("\t", "|", ";", ",", "  ")
 _STOPS = ".!?…。؟"
+_SENTENCE = re.compile(r"\w{2}[.!?…。؟][\s'\"”’»)]+\w")
 _QUOTES = "'\"”’»)] \t\r"
 _BREAK = "\x1e"  # between the texts of a batch, on a line of its own
 
@@ -170,7 +172,41 @@ def _line_kind(line: str, is_row: bool, words: int, common: int, strange: int, c
         return LIST, False
     if words <= 4:
         return LIST, True
-    return PROSE, False
+    return UNDECIDED, False
+
+
+def _recurs(x: np.ndarray, share: int) -> bool:
+    """Whether values come again at some lag up to a ``share``-th of their number: autocorrelation by pair of 0.8 or more."""
+    n = len(x)
+    d = x - x.mean()
+    v = float((d * d).sum())
+    if v == 0:
+        return True
+    power = np.abs(np.fft.rfft(d, 2 * n)) ** 2
+    lags = np.arange(1, n // share + 1)
+    return bool((np.fft.irfft(power, 2 * n)[lags] * n >= 0.8 * v * (n - lags)).any())
+
+
+def _by_layout(lines: list[str], kinds: list[int], indent: np.ndarray) -> None:
+    """Lines that neither words nor marks decide: items where the stretch of such lines and items is laid out regularly, else prose.
+
+    Regular are four lines or more whose indentation comes again, and six or more whose lengths do, at least three times over.
+    A stretch (blank lines aside) ends at any other line; one that holds a sentence, or the same line throughout, is prose.
+    """
+    stretch: list[int] = []
+    for i, k in enumerate([*kinds, PROSE]):
+        if k in (LIST, UNDECIDED):
+            stretch.append(i)
+        elif k >= 0:
+            open_lines = [j for j in stretch if kinds[j] == UNDECIDED]
+            regular = False
+            if open_lines and len({lines[j] for j in stretch}) > 1 and not any(_SENTENCE.search(lines[j]) for j in open_lines):
+                for part in (stretch, open_lines):  # with the short lines and marked items around, and without
+                    deep, long = indent[part], np.array([len(lines[j].strip()) for j in part], float)
+                    regular |= (len(part) >= 4 and bool(deep.any()) and _recurs(deep, 2)) or (len(part) >= 6 and _recurs(long, 3))
+            for j in open_lines:
+                kinds[j] = LIST if regular else PROSE
+            stretch = []
 
 
 def _plain(line: str) -> bool:
@@ -252,8 +288,9 @@ def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
         for i in range(a, b):
             if kind[i] == -2:
                 kind[i], unsure[i] = _line_kind(lines[i], row[i], words[i], common[i], strange[i], chars[i], solid[i], odd[i])
-        if unsure[a:b].any():
+        if unsure[a:b].any() or (kind[a:b] == UNDECIDED).any():
             settled = kind[a:b].tolist()
+            _by_layout(own, settled, indent[a:b])
             _settle(own, settled, unsure[a:b].tolist())
             kind[a:b] = settled
 
@@ -311,8 +348,8 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def text_quality(df: DataFrame, text: str) -> DataFrame:
     """``df`` with the statistics of STATS and the kind of ``text``: prose, list, table or junk.
 
-    Lines are told apart by delimiters that align vertically, by markers and indentation, and by their words and symbols; the
-    text's kind is prose where prose lines hold most characters, else the largest of the others. Null texts have null
+    Lines are told apart by delimiters that align vertically, by markers, and by their words and symbols; where these leave a line
+    open, by whether indentation or line lengths around it come again. The text's kind is prose where prose lines hold most characters, else the largest of the others. Null texts have null
     statistics, blank texts a null kind. Columns of the same names are replaced; all others pass through.
     """
     given = df.drop(*STATS, "kind").withColumn("__vx_text", F.col(text) if text not in (*STATS, "kind") else F.lit(None))

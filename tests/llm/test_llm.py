@@ -252,6 +252,18 @@ def identifier(spark):
     return languages.fit_on_table(spark.read.parquet("/root/testdata/sf0.01/text_segments.parquet"), "text", "lang")
 
 
+def test_fit_sample_is_of_distinct_texts(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(languages, "fit_on", lambda texts, labels: taken.append(list(zip(texts, labels))))
+    texts = [(f"text {i}", ("en", "de", "fr")[i % 3]) for i in range(300)]
+    df = spark.createDataFrame(texts + [("again and again", "en")] * 3000 + [(f"unknown {i}", None) for i in range(900)], "t string, l string")
+    languages.fit_on_table(df, "t", "l", 400)
+    assert taken[0] == sorted([*texts, ("again and again", "en")])
+    for parts in (1, 7):
+        languages.fit_on_table(df.repartition(parts), "t", "l", 50)
+    assert taken[1] == taken[2] and 25 < len(taken[1]) <= 100
+
+
 def test_held_out_language_accuracy(spark, identifier):
     held = spark.read.parquet("/root/testdata/sf0.1/text_segments.parquet").where("lang IN ('ak','de','en','es','fr','pt','sw') AND size(labels.code_switch_spans) = 0").select("segment_id", "text", "lang")
     got = languages.identify(held, "text", identifier).where("main_lang IS NOT NULL")

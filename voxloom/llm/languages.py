@@ -165,12 +165,17 @@ def fit_on(texts: list[str], labels: list[str]) -> Identifier:
 
 
 def fit_on_table(segments: DataFrame, text: str, lang: str, sample_rows: int = SAMPLE_ROWS) -> Identifier:
-    """An identifier from at most ``sample_rows`` labelled rows, taken by a hash of the text; ``fit_on`` on the driver."""
+    """An identifier from about ``sample_rows`` labelled texts, taken by a hash of the text; ``fit_on`` on the driver.
+
+    A text counts once under each of its labels, however often it is repeated. Which are taken follows from the table's content alone.
+    """
     labelled = segments.select(F.col(text).alias("t"), language_code(F.col(lang)).alias("l")).where(F.col("l").isin(*LANGS) & (F.length("t") > 0))
-    n = segments.count()
+    n = labelled.agg(F.approx_count_distinct(F.xxhash64("t", "l"))).first()[0]
+    place = F.pmod(F.xxhash64("t"), F.lit(1 << 30))
     if n > sample_rows:
-        labelled = labelled.where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n))
-    rows = sorted((r.t, r.l) for r in labelled.limit(2 * sample_rows).collect())
+        labelled = labelled.where(place < int((1 << 30) * sample_rows / n))
+    first = labelled.distinct().orderBy(place, "t", "l").limit(2 * sample_rows)
+    rows = sorted((r.t, r.l) for r in first.collect())
     return fit_on([t for t, _ in rows], [l for _, l in rows])
 
 

@@ -239,6 +239,12 @@ def test_canonical_of_batches():
         assert len(set(lookalike.canonical([t, unicodedata.normalize("NFC", t), unicodedata.normalize("NFD", t)]))) == 1
 
 
+def test_canonical_of_hangul_and_compatibility_ideographs():
+    syllables = "".join(map(chr, range(0xAC00, 0xD7A4)))
+    assert lookalike.canonical([syllables]) == [unicodedata.normalize("NFD", syllables)]
+    assert lookalike.canonical([chr(0x2F800), chr(0x2FA1D)]) == [chr(0x4E3D), chr(0x2A600)]
+
+
 def test_pairs_of_looks(spark):
     data = [(1, "a", "k"), (2, "а", "k"), (3, "a", "k"), (3, "a", "k"), (4, "a​", "k"), (5, "b", "k"), (6, "а", "other"), (7, None, "k"), (None, "a", "k"), (8, "а", None)]
     df = spark.createDataFrame(data, "id long, t string, g string")

@@ -49,8 +49,8 @@ def tables(phonetic: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     special: dict[int, list[int]] = {}
     combining = np.zeros(_TOP, np.uint8)
     for cp in range(_TOP):
-        if 0x3400 <= cp < 0xA000 or 0xAC00 <= cp < 0xF900 or cp >= 0x2F800 and not 0xE0000 <= cp < 0xE0200:
-            continue  # ideographs, Hangul, surrogates, private use: they stay as they are
+        if 0x3400 <= cp < 0xA000 or 0xD7FC <= cp < 0xF900 or cp >= 0x2FA20 and not 0xE0000 <= cp < 0xE0200:
+            continue  # ideographs, surrogates, private use: they stay as they are
         ch = chr(cp)
         kind = unicodedata.category(ch)
         combining[cp] = unicodedata.combining(ch)

@@ -80,6 +80,14 @@ def test_profiles(spark):
     assert got == {"cat": ("kæʔ", "override"), "dog": ("dɔɡ", "override"), "thin": ("Th!in", "rules")}
 
 
+def test_long_fallback_cycles(spark):
+    ring = [(f"d{i:02}", [f"d{(i + 1) % 12:02}"]) for i in range(12)] + [("in", ["d03"]), ("self", ["self"]), ("none", None)]
+    p = spark.createDataFrame(ring, "dialect string, fallback_chain array<string>")
+    assert rows(profiles.fallback_cycles(p)) == [*((f"d{i:02}", 12) for i in range(12)), ("self", 1)]
+    assert rows(profiles.fallback_cycles(p, 8)) == [("self", 1)]
+    assert profiles.fallback_cycles(p.limit(0)).count() == 0
+
+
 def test_curation(spark):
     d = spark.createDataFrame([(1, "A b!"), (2, "a  B"), (3, None), (4, "c"), (5, None)], "id int, t string")
     assert rows(curation.exact_classes(d, "id", "t")) == [(1, 1, 2), (2, 1, 2), (4, 4, 1)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.operators.lineage import cut
+
 
 def fallback_steps(profiles: DataFrame) -> DataFrame:
     """(profile_id, lang, dialect, step, fallback): a profile's own dialect as step 0, then its chain in order."""
@@ -12,15 +14,20 @@ def fallback_steps(profiles: DataFrame) -> DataFrame:
     return profiles.select("profile_id", "lang", "dialect", F.posexplode(chain).alias("step", "fallback"))
 
 
-def fallback_cycles(profiles: DataFrame, depth: int = 8) -> DataFrame:
-    """(dialect, length): dialects that come back to themselves over the chains of others, within ``depth`` steps."""
+def fallback_cycles(profiles: DataFrame, depth: int | None = None) -> DataFrame:
+    """(dialect, length): dialects that come back to themselves over the chains of others, by the shortest way.
+
+    Ways go on until no new place comes out, so at most as many steps as there are dialects; ``depth`` ends them sooner.
+    """
     edges = profiles.select(F.col("dialect").alias("a"), F.explode("fallback_chain").alias("b")).dropna().distinct()
-    paths, found = edges.select(F.col("a").alias("dialect"), F.col("b").alias("at")), None
-    for n in range(1, depth + 1):
-        back = paths.where(F.col("dialect") == F.col("at")).select("dialect", F.lit(n).alias("length"))
-        found = back if found is None else found.unionByName(back)
-        paths = paths.where(F.col("dialect") != F.col("at")).join(edges, F.col("at") == F.col("a")).select("dialect", F.col("b").alias("at")).distinct()
-    return found.groupBy("dialect").agg(F.min("length").alias("length"))
+    fresh = seen = cut(edges.select(F.col("a").alias("dialect"), F.col("b").alias("at"), F.lit(1).alias("length")))
+    n = 1
+    while (depth is None or n < depth) and not fresh.isEmpty():
+        n += 1
+        ahead = fresh.where(F.col("dialect") != F.col("at")).join(edges, F.col("at") == F.col("a")).select("dialect", F.col("b").alias("at")).distinct()
+        fresh = cut(ahead.join(seen, ["dialect", "at"], "left_anti").withColumn("length", F.lit(n)))
+        seen = seen.unionByName(fresh)
+    return seen.where(F.col("dialect") == F.col("at")).groupBy("dialect").agg(F.min("length").alias("length"))
 
 
 def inherited(profiles: DataFrame, columns: list[str]) -> DataFrame:

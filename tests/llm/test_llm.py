@@ -317,6 +317,13 @@ def test_leaks(spark):
     assert rows(leakage.leaks(df, items, block_windows=5)) == rows(got)
 
 
+def test_reworded_names_that_begin_a_sentence(spark):
+    items = spark.createDataFrame([(1, "Anna has 3 red apples in a basket."), (2, "we saw that Carla took 5 of the green pears home."), (3, "Where")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so. Ben has 4 red apples in a basket. and more of it"), (2, "it says BEN has 4 red apples in a basket. and more"), (3, "we saw that DORA took 6 of the green pears home. and so on"), (4, "Anna has 3 red apples in a basket. and so on"), (5, "Paris is large")], "doc_id long, text string")
+    want = [(1, 1, 0, 1), (2, 1, 0, 1), (3, 2, 0, 1), (4, 1, 1, 0)]
+    assert rows(leakage.leaks(docs, items)) == want and rows(leakage.leaks(docs, items, block_windows=5)) == want
+
+
 def test_allocate():
     assert mixing.allocate([(0.5, 100), (0.5, 10)], 100) == [90, 10]
     assert mixing.allocate([(0.5, 0), (0.5, 1000)], 100) == [0, 100]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -84,13 +84,14 @@ def _rolling(ids: np.ndarray, upto: int) -> Iterator[tuple[int, np.ndarray]]:
             yield n, h * (np.uint64(2 * n + 1))
 
 
-def templates(items: list[tuple[object, str]], window: int = WINDOW) -> Templates:
-    """Template windows of items. Names are words written with a capital inside a sentence; every word of the items keeps its
-    type in all texts, however it is written there, so a verbatim passage always has its item's template."""
+def vocabulary(texts: Iterable[str]) -> tuple[set[str], set[str], set[str]]:
+    """(names, wide, words) of items: words written with a capital inside a sentence and never small; these and the words
+    written with a capital anywhere, or in capitals, and never small; and all words."""
     names: set[str] = set()
+    wide: set[str] = set()
     lower: set[str] = set()
-    folded: list[list[str]] = []
-    for _, text in items:
+    words: set[str] = set()
+    for text in texts:
         start = True
         for t in re.findall(r"[^\W_]+|[.!?:…\n]", unicodedata.normalize("NFC", text)):
             if not t[0].isalnum():
@@ -98,23 +99,33 @@ def templates(items: list[tuple[object, str]], window: int = WINDOW) -> Template
                 continue
             if t[0].islower():
                 lower.add(fold(t))
-            elif not start and t[0].isupper() and not t.isupper():
-                names.add(fold(t))
+            elif t[0].isupper():
+                wide.add(fold(t))
+                if not start and not t.isupper():
+                    names.add(fold(t))
             start = False
-        folded.append([fold(w) for w in _WORD.findall(unicodedata.normalize("NFC", text))])
-    names -= lower
-    plain = {w for ws in folded for w in ws} - names
+        words.update(fold(w) for w in _WORD.findall(unicodedata.normalize("NFC", text)))
+    return names - lower, wide - lower, words
+
+
+def templates(items: list[tuple[object, str]], names: set[str], words: set[str], window: int = WINDOW, worded: bool = False) -> Templates:
+    """Template windows of items. Every word of the items keeps its type in all texts, however it is written there, so a
+    verbatim passage always has its item's template. With ``worded``, windows that are mostly placeholders are left out."""
+    folded = [[fold(w) for w in _WORD.findall(unicodedata.normalize("NFC", text))] for _, text in items]
+    plain = words - names
     keys, item, at, length = [], [], [], []
     for i, ws in enumerate(folded):
         n = min(window, len(ws))
         if not n:
             continue
-        ids = _hashes([placeholder(w, w in names) for w in ws])
-        h = dict(_rolling(ids, n))[n]
-        keys.append(h)
-        item.append(np.full(len(h), i))
-        at.append(np.arange(len(h)))
-        length.append(np.full(len(h), n))
+        held = [placeholder(w, w in names) for w in ws]
+        h = dict(_rolling(_hashes(held), n))[n]
+        own = np.convolve([x not in (NUMBER, UNIT, NAME) for x in held], np.ones(n, np.int64), "valid")
+        use = np.flatnonzero(own >= max(2, n / 2) if worded else own >= 0)
+        keys.append(h[use])
+        item.append(np.full(len(use), i))
+        at.append(use)
+        length.append(np.full(len(use), n))
     flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, item, at, length)]
     order = np.argsort(flat[0].astype(np.uint64), kind="stable")
     k = flat[0].astype(np.uint64)[order]
@@ -133,8 +144,27 @@ def slots_agree(mine: list[str], theirs: list[str]) -> bool:
     return True
 
 
-def _matches(batches: Iterator[pa.RecordBatch], t: Templates) -> Iterator[pa.RecordBatch]:
-    longest = max(t.lengths, default=0)
+def _find(t: Templates, ids: np.ndarray, row: np.ndarray, code: np.ndarray, words: list[str], hits: dict[tuple[int, int, int], bool]) -> None:
+    """Adds to ``hits`` (place, item, start in the item) of every window that matches, and whether it does so verbatim."""
+    for n, h in _rolling(ids, max(t.lengths, default=0)):
+        if n not in t.lengths:
+            continue
+        at = np.flatnonzero(t.sieve[(h >> np.uint64(42)).astype(np.int64)] & (row[: len(h)] == row[n - 1 :]))
+        lo = np.searchsorted(t.keys, h[at], "left")
+        hi = np.searchsorted(t.keys, h[at], "right")
+        for p, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
+            mine = [words[c] for c in code[p : p + n]]
+            for k in range(a, b):
+                if t.length[k] != n:
+                    continue
+                i, s = int(t.item[k]), int(t.start[k])
+                theirs = t.words[i][s : s + n]
+                if mine == theirs or slots_agree(mine, theirs):
+                    hits[p, i, s] = mine == theirs
+
+
+def _matches(batches: Iterator[pa.RecordBatch], both: tuple[Templates, Templates]) -> Iterator[pa.RecordBatch]:
+    """Matches by the templates whose names stand inside a sentence, and by those whose names stand anywhere."""
     for batch in by_size(batches, 1):
         docs = batch.column(0)
         texts = [(x or "").replace(_BREAK, " ") for x in batch.column(1).to_pylist()]
@@ -147,43 +177,29 @@ def _matches(batches: Iterator[pa.RecordBatch], t: Templates) -> Iterator[pa.Rec
         begins = np.ones(len(tokens), bool)
         begins[1:] = ~isword[:-1]
         words = [fold(u) for u in unique]
-        named = np.array([w in t.names for w in words], bool)
-        open_ = np.array([w not in t.plain and w not in t.names for w in words], bool)
+        upper = np.array([u[0].isupper() for u in unique], bool)[codes]
         as_name = _hashes([placeholder(w, True) for w in words])
-        as_word = _hashes([placeholder(w, n) for w, n in zip(words, named, strict=True)])
         # capitals tell names only in texts that don't write every other word with one
         per_row = np.bincount(row_of[isword], minlength=len(texts) + 1)
-        capitals = np.bincount(row_of[isword & capital], minlength=len(texts) + 1)
-        mixed = (capitals < 0.5 * np.maximum(per_row, 1))[row_of]
-        name_here = capital & ~begins & mixed & open_[codes]
         keep = np.flatnonzero(isword)
-        ids = np.where(name_here, as_name[codes], as_word[codes])[keep]
         row, code = row_of[keep], codes[keep]
-        found: list[tuple[int, int, int, bool]] = []
-        for n, h in _rolling(ids, longest):
-            if n not in t.lengths:
-                continue
-            at = np.flatnonzero(t.sieve[(h >> np.uint64(42)).astype(np.int64)] & (row[: len(h)] == row[n - 1 :]))
-            lo = np.searchsorted(t.keys, h[at], "left")
-            hi = np.searchsorted(t.keys, h[at], "right")
-            for p, a, b in zip(at[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist(), strict=True):
-                mine = [words[c] for c in code[p : p + n]]
-                for k in range(a, b):
-                    if t.length[k] != n:
-                        continue
-                    theirs = t.words[t.item[k]][t.start[k] : t.start[k] + n]
-                    if mine == theirs:
-                        found.append((int(row[p]), int(t.item[k]), n, True))
-                    elif slots_agree(mine, theirs):
-                        found.append((int(row[p]), int(t.item[k]), n, False))
+        hits: dict[tuple[int, int, int], bool] = {}
+        for t, may in zip(both, (capital & ~begins, upper), strict=True):
+            capitals = np.bincount(row_of[isword & (capital if t is both[0] else upper)], minlength=len(texts) + 1)
+            mixed = (capitals < 0.5 * np.maximum(per_row, 1))[row_of]
+            open_ = np.array([w not in t.plain and w not in t.names for w in words], bool)
+            as_word = _hashes([placeholder(w, w in t.names) for w in words])
+            ids = np.where(may & mixed & open_[codes], as_name[codes], as_word[codes])[keep]
+            _find(t, ids, row, code, words, hits)
+        found = [(int(row[p]), i, verbatim) for (p, i, _), verbatim in hits.items()]
         if found:
-            pairs = pd.DataFrame(found, columns=["row", "item", "n", "verbatim"]).groupby(["row", "item"], as_index=False).agg(
+            pairs = pd.DataFrame(found, columns=["row", "item", "verbatim"]).groupby(["row", "item"], as_index=False).agg(
                 windows=("verbatim", "size"), verbatim=("verbatim", "sum")
             )
             yield pa.RecordBatch.from_arrays(
                 [
                     docs.take(pa.array(pairs["row"].to_numpy())),
-                    pa.array([t.ids[i] for i in pairs["item"]], pa.int64()),
+                    pa.array([both[0].ids[i] for i in pairs["item"]], pa.int64()),
                     pa.array((pairs["verbatim"]).to_numpy(), pa.int64()),
                     pa.array((pairs["windows"] - pairs["verbatim"]).to_numpy(), pa.int64()),
                 ],
@@ -210,9 +226,10 @@ def leaks(corpus: DataFrame, items: DataFrame, doc: str = "doc_id", text: str =
     schema = "doc_id bigint, item_id bigint, verbatim bigint, reworded bigint"
     sc = corpus.sparkSession.sparkContext
     out = None
+    names, wide, words = vocabulary(r.t for r in clean.toLocalIterator())
     for k in range(blocks):
-        rows = clean.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).collect()
-        t = sc.broadcast(templates(sorted((r.i, r.t) for r in rows)))
+        rows = sorted((r.i, r.t) for r in clean.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).collect())
+        t = sc.broadcast((templates(rows, names, words), templates(rows, wide, words, worded=True)))
         part = docs.mapInArrow(lambda b, t=t: _matches(b, t.value), schema)
         out = part if out is None else out.unionByName(part)
     return out.groupBy("doc_id", "item_id").agg(F.sum("verbatim").alias("verbatim"), F.sum("reworded").alias("reworded"))

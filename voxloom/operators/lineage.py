@@ -2,31 +2,56 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder all executors share.
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    It is read from ``spark.checkpoint.dir``. Only where that is unset (tests, one machine) a temporary folder is used.
+    Where that is unset, a local session gets a temporary folder that is deleted when the program ends. On several machines
+    such a folder would be wrong, so there an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="voxloom-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="voxloom-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     sc.setCheckpointDir(folder)
     return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read from there."""
+    """``df`` written to the shared checkpoint folder and read from there.
+
+    The files go when nothing refers to the result any more, if the session is set up for that
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+    """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name beside the checkpoints, for tables that a query writes and reads again."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt out by ``keys`` where it comes in fewer partitions than there are cores, else as it is.
 

@@ -24,9 +24,10 @@ def _sentences(t) -> DataFrame:
 
 def flagship(t) -> DataFrame:
     """Curation report: distinct texts with a source, per language, with their documents, characters and sources."""
-    kept = curation.without_duplicates(t("documents").where("text IS NOT NULL AND source IS NOT NULL"), "doc_id", "text")
+    rows = t("documents").where("text IS NOT NULL AND source IS NOT NULL").withColumn("size", F.length("text"))
+    kept = curation.without_duplicates(rows, "doc_id", "text", keep=["lang", "source", "size"])
     return kept.groupBy(F.coalesce(language_code(F.col("lang")), F.lit("?")).alias("lang")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.length("text")).alias("n_chars"), F.count_distinct("source").alias("n_sources")
+        F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("n_chars"), F.count_distinct("source").alias("n_sources")
     )
 
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxloom.functions import reports
 from voxloom.operators import curation, lexicon, metrics, profiles, upsert
-from voxloom.operators.lineage import checkpoint_dir
+from voxloom.operators.lineage import remove, scratch
 from voxloom.plans.corpus import _q, _t
 from voxloom.sources import html
 from voxloom.streaming import events as ev
@@ -128,11 +126,12 @@ def _events(t) -> DataFrame:
 
 def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Daily throughput by a stream over the events that are there."""
-    base = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    base = scratch(spark, "stream")
     schema = _t(spark, sf, "events").schema
     # a file source takes folders or patterns: the table's own file, whatever it is called
     stream = ev.stream_table(spark, f"{sf}/event[s].parquet", schema)
     ev.run_available(ev.throughput(ev.with_time(stream), "ts", "1 day", keys=["event_type"], value="value"), f"{base}/out", f"{base}/state")
+    remove(spark, f"{base}/state")
     return spark.read.parquet(f"{base}/out")
 
 

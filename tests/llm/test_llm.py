@@ -314,14 +314,80 @@ def test_leaks(spark):
     assert rows(got.where("verbatim = 0").select("doc_id", "item_id")) == [(14, 1)]
     for empty in (leakage.leaks(df.limit(0), items), leakage.leaks(df, items.limit(0))):
         assert empty.count() == 0
-    assert rows(leakage.leaks(df, items, block_windows=5)) == rows(got)
 
 
 def test_reworded_names_that_begin_a_sentence(spark):
     items = spark.createDataFrame([(1, "Anna has 3 red apples in a basket."), (2, "we saw that Carla took 5 of the green pears home."), (3, "Where")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "so. Ben has 4 red apples in a basket. and more of it"), (2, "it says BEN has 4 red apples in a basket. and more"), (3, "we saw that DORA took 6 of the green pears home. and so on"), (4, "Anna has 3 red apples in a basket. and so on"), (5, "Paris is large")], "doc_id long, text string")
     want = [(1, 1, 0, 1), (2, 1, 0, 1), (3, 2, 0, 1), (4, 1, 1, 0)]
-    assert rows(leakage.leaks(docs, items)) == want and rows(leakage.leaks(docs, items, block_windows=5)) == want
+    assert rows(leakage.leaks(docs, items)) == want
+
+
+def test_items_do_not_change_what_others_find(spark, monkeypatch):
+    """Names that one item writes small, a word that is a unit elsewhere, and the ways to join leave a pair as it is."""
+    first = (1, "The poet Kino wrote about the old bridge near the market of Pedo in the rain that day.")
+    others = [(2, "kino and pedo are words, and so are the poet and the bridge"), (3, "It was 5 metres near the market"), (4, "THE POET KINO WROTE ABOUT THE OLD BRIDGE NEAR")]
+    docs = spark.createDataFrame([(1, first[1].replace("Kino", "Lalo Mendes").replace("Pedo", "Sami")), (2, first[1].lower()), (3, "x")], "doc_id long, text string")
+    schema = "item_id long, text string"
+    alone = rows(leakage.leaks(docs, spark.createDataFrame([first], schema)))
+    assert [x[:2] for x in alone] == [(1, 1), (2, 1)] and alone[0][2] == 0 < alone[0][3] and alone[1][3] == 0 < alone[1][2]
+    for most in (10**9, 0):
+        monkeypatch.setattr(leakage, "BROADCAST_WINDOWS", most)
+        for bits in (1 << 22, 1 << 6):
+            monkeypatch.setattr(leakage, "SIEVE_LEAST", bits)
+            monkeypatch.setattr(leakage, "SIEVE_MOST", bits)
+            assert [x for x in rows(leakage.leaks(docs, spark.createDataFrame([first, *others], schema))) if x[1] == 1] == alone
+
+
+def test_slots_of_any_length_and_units(spark):
+    items = spark.createDataFrame([(1, "She carried 3.5 kg of rice from the market of New York to the house of a friend."), (2, "A s t l g m are letters and a 5 m rope is a rope that a man has")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "She carried 4 lb of rice from the market of Paris to the house of a friend."), (2, "She carried 4 lb of rice from the market of Paris to the house of a foe."), (3, "A s t l g m are letters and a 7 m rope is a rope that a man has"), (4, "A s t x g m are letters and a 7 m rope was a rope that a man had")],
+        "doc_id long, text string",
+    )
+    assert [x[:3] for x in rows(leakage.leaks(docs, items)) if x[2] == 0] == [(1, 1, 0), (2, 1, 0), (3, 2, 0)]
+    assert 4 not in [x[0] for x in rows(leakage.leaks(docs, items))]
+
+
+def reparameterised(text, r, consistent=True):
+    """The text with other names (of one to three words) and numbers, one for each, or with one name that gets two."""
+    new = {}
+    words, out, start, twice = text.split(" "), [], True, 0
+    for w in words:
+        core = w.strip(".,!?")
+        if core.isdigit() or (core[:1].isupper() and not start):
+            made = lambda: str(r.randrange(10, 99999)) if core.isdigit() else " ".join("".join(r.choice("bdfgklmnprstv") + r.choice("aeiou") for _ in range(3)).capitalize() for _ in range(r.randrange(1, 4)))  # noqa: B023, E731
+            value = new.setdefault(core, made())
+            if not consistent and twice < 2:
+                value, twice = made(), twice + 1
+            out.append(w.replace(core, value))
+        else:
+            out.append(w)
+        start = w[-1:] in ".!?:"
+    return " ".join(out)
+
+
+def test_recall_and_precision_of_reparameterised_items(spark):
+    r = random.Random(11)
+    base = [x for x in spark.read.parquet("/root/testdata/sf0.01/eval_items.parquet").orderBy("item_id").collect() if len(x.text.split()) >= 12]
+    items, docs, want = [], [], set()
+    filler = [x.text for x in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) > 200").orderBy("doc_id").limit(60).collect()]
+    for x in base:
+        name = next((w for w in x.text.split()[1:] if w[:1].isupper()), None)
+        text = x.text + (f" Later {name.strip('.,!?')} counted {r.randrange(2, 40)} boats and {name.strip('.,!?')} left." if name else " Later 7 boats and 7 men left.")
+        items.append((x.item_id, text))
+        k = len(docs)
+        docs.append((k, r.choice(filler) + " " + reparameterised(text, r) + " " + r.choice(filler)))
+        want.add((k, x.item_id))
+        # a name twice in the last 12 units that gets two values there, and a passage with other words in between
+        tail = " ".join(text.split()[-9:])
+        docs.append((k + 1, r.choice(filler) + " " + reparameterised(tail, r, False)))
+        docs.append((k + 2, " ".join(w + (" indeed" if i % 5 == 4 else "") for i, w in enumerate(reparameterised(text, r).split()))))
+    found = {(d, i) for d, i, v, w in rows(leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))) if w and v == 0}
+    own = {(d, i) for d, i in found if (d - d % 3, i) in want}
+    recall, precision = len(want & own) / len(want), len(want & own) / max(1, len(own))
+    print("re-parameterised items: recall", recall, "precision", precision, "other items' pairs", len(found - own))
+    assert recall >= 0.9 and precision >= 0.9
 
 
 def test_allocate():

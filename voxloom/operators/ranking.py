@@ -72,18 +72,20 @@ def rank_and_running(
     rank: str = "rank",
     running: str = "running",
     partitions: int | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """``df`` with each row's position (from 1) among the rows of its ``keys`` in ``order``, and the sum of ``value`` up to it.
 
     The rows are range-partitioned on keys and order, in as many ranges as their number asks for, so a key that holds a third
     of all rows takes a third of the ranges. Ranks and sums are found in one walk over each sorted range. Only a key that
     begins a range can have rows in earlier ones, so one row per range, which comes to the driver, is enough to shift them:
-    that is the only shuffle. ``df`` should hold no more columns than needed. The order should be total; ties are settled
+    that is the only shuffle. ``df`` should hold no more columns than needed; ``written`` tells that it is cut off already. The order should be total; ties are settled
     arbitrarily but once and for all, since the ranks are written to the checkpoint folder. Null keys form a group of their own;
     ``value`` holds whole numbers, and its nulls count 0. Columns named like the new ones are replaced.
     """
     # Finding the ranges takes a pass of its own, so what leads to ``df`` is cut off first and runs once.
-    rows = cut(df.drop(rank, *([running] if value else [])))
+    rows = df.drop(rank, *([running] if value else []))
+    rows = rows if written else cut(rows)
     if partitions is None:
         n = rows.count()
         usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

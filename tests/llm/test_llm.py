@@ -171,6 +171,35 @@ def test_deal_is_greedy():
     assert splits.deal([], (1.0,)) == {}
 
 
+def test_deal_against_one_by_one():
+    r = random.Random(12)
+    for _ in range(60):
+        sizes = list(Counter(r.choice([1, 1, 2, 3, 7, 50]) for _ in range(r.choice([3, 40, 1500]))).items())
+        shares = r.choice([(0.8, 0.1, 0.1), (0.7, 0.1, 0.1), (0.5, 0.5), (1.3, 0.4), (0.25, 0.25, 0.25), (1.0,)])
+        want, have = greedy(sizes, shares)
+        got = splits.deal(sizes, shares)
+        assert got == want, (sizes, shares)
+        assert [sum(n * got[n][i] for n in got) for i in range(len(shares))] == have
+    got = splits.deal([(1, 2_000_000)], (0.7, 0.1, 0.1))[1]
+    assert max(abs(a - b) for a, b in zip(got, (2_000_000 * 0.7 + 200_000 / 3, 2_000_000 * 0.1 + 200_000 / 3, 2_000_000 * 0.1 + 200_000 / 3))) <= 1
+
+
+def test_components_of_chains_and_hubs_contract(spark):
+    r = random.Random(13)
+    names = [f"n{i:05}" for i in range(4000)]
+    r.shuffle(names)
+    chain = list(zip(names, names[1:]))
+    hub = [("hub", f"h{i:05}") for i in range(3000)]
+    pairs = [(f"p{i}", f"q{i}") for i in range(500)]
+    links = chain + hub + pairs + [("hub", names[7])]
+    got = {x.node: x.root for x in splits.components(spark.createDataFrame(links, "u string, v string").repartition(9), "u", "v", 300).collect()}
+    want = union_find(links)
+    least = defaultdict(lambda: "~")
+    for node, root in want.items():
+        least[root] = min(least[root], node)
+    assert got == {node: least[root] for node, root in want.items()}
+
+
 def test_splits_keep_groups(spark):
     df = spark.range(3000).select("id", F.concat(F.lit("g"), F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 700)).alias("g"), F.lit("old").alias("split"))
     got = splits.assign_splits(df.unionByName(df.limit(1).select(F.lit(9999).cast("long").alias("id"), F.lit(None).cast("string").alias("g"), "split")), "g", {"train": 0.8, "test": 0.2})
@@ -197,6 +226,11 @@ def test_water_level():
         want = brute_level(counts, share)
         assert min(got, max(counts)) == want, (counts, share, got, want)
     assert capping.water_level([], 0.1) == 0
+    for _ in range(100):
+        counts = [r.randrange(1, 200) for _ in range(r.randrange(1, 30))]
+        share, most = r.choice([0.1, 0.3, 1.0]), r.randrange(1, 120)
+        want = min(most, brute_level([min(n, most) for n in counts], share))
+        assert min(capping.water_level(list(Counter(counts).items()), share, most), max(counts)) == want
 
 
 def test_capping(spark):
@@ -405,6 +439,7 @@ def test_mix_plan(spark):
     assert s["m", "absent"].used_tokens == 0 and s["m", "Tiny"].limited and s["m", "Tiny"].used_tokens == 4 * s["m", "Tiny"].available_tokens
     total = s["m", "news_a"].available_tokens + s["m", "Tiny"].available_tokens
     assert abs(s["m", "news_a"].used_tokens + s["m", "Tiny"].used_tokens - total) < 60
+    assert all(abs(r.actual_share - r.attainable_share) < 0.02 for r in s.values())
     assert s["n", "news_a"].actual_share == 1.0 and s["n", "news_a"].used_tokens == s["n", "news_a"].available_tokens
     assert plan.where("copies > 4 OR copies < 1").count() == 0 and plan.groupBy("mix_name", "doc_id").count().where("count > 1").count() == 0
     again, _ = mixing.plan_mixes(d.repartition(7), t)
@@ -413,6 +448,16 @@ def test_mix_plan(spark):
         assert mixing.plan_mixes(a, b)[0].count() == 0
 
 
+def test_shares_of_the_data(spark):
+    shares = queries.p8_mix_shares(spark, "/root/testdata/sf0.1").collect()
+    for mix in {r.mix_name for r in shares}:
+        own = [r for r in shares if r.mix_name == mix]
+        assert abs(sum(r.actual_share for r in own) - 1) < 1e-9 and abs(sum(r.attainable_share for r in own) - 1) < 1e-9
+        total = sum(r.used_tokens for r in own)
+        for r in own:  # at most half of the largest document beside what is attainable
+            assert abs(r.actual_share - r.attainable_share) <= 20_000 / total and r.used_tokens <= r.max_repeats * r.available_tokens
+
+
 def test_pareto_inclusion_follows_weights(spark):
     d = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("one two three").alias("text"), F.when(F.col("id") % 2 == 0, 3.0).otherwise(1.0).alias("w"))
     t = spark.createDataFrame([("m", "s", 1.0, 1)], "mix_name string, source string, target_share double, max_repeats int")

@@ -8,9 +8,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.llm.batches import by_size
 from voxloom.operators.lineage import cut, spread
 from voxloom.operators.ranking import rank_and_running
 
@@ -21,20 +22,24 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\
 
 
 @lru_cache(maxsize=2)
-def _encoding(path: str):
+def _encoding(vocabulary: bytes):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line.strip())}
     return tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def count_tokens(df: DataFrame, text: str, out: str = "n_tokens", tokenizer: str = TOKENIZER) -> DataFrame:
-    """``df`` without ``text`` but with its number of tokens; 0 for null."""
+    """``df`` without ``text`` but with its number of tokens; 0 for null.
+
+    The vocabulary is read where the query is planned and sent to all tasks, so the file need not lie on every machine.
+    """
+    with open(tokenizer, "rb") as f:
+        sent = df.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(tokenizer).encode_ordinary
-        for b in batches:
+        encode = _encoding(sent.value).encode_ordinary
+        for b in by_size(batches, "_text"):
             n = [len(encode(t)) if t else 0 for t in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], [*b.schema.names[:-1], out])
 
@@ -97,6 +102,8 @@ def plan_mixes(
     Spellings of a source are one source. Documents without source, id or tokens are in no mix; targets without mix, source,
     positive share or repeats are left out; of a source named twice in a mix the shares add up and the largest repeats hold.
     Sources without documents get 0. Results name a source as the targets write it. plan: mix_name, doc_id, source, n_tokens, copies (at least 1).
+    shares has one row per target: target_share, attainable_share (after sources that fall short) and actual_share, which differs
+    from that by at most half a document's tokens.
     """
     spark = documents.sparkSession
     goals = (
@@ -158,6 +165,7 @@ def plan_mixes(
             F.col("cap").alias("max_repeats"),
             F.col("available").alias("available_tokens"),
             F.coalesce("used", F.lit(0)).alias("used_tokens"),
+            (F.col("amount") / F.sum("amount").over(Window.partitionBy("mix_name"))).alias("attainable_share"),
             F.coalesce(F.col("used") / F.col("_all"), F.lit(0.0)).alias("actual_share"),
             (F.col("amount") >= F.col("cap") * F.col("available")).alias("limited"),
         )

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.operators.lineage import cut
@@ -19,24 +19,27 @@ TASK_LINKS = 1_000_000
 
 
 def local_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Union-find over the links a[i] - b[i]: every node with the smallest node of its tree (also the roots themselves)."""
+    """Union-find over the links a[i] - b[i]: every node with the smallest node of its tree (also the roots themselves).
+
+    All links are followed to their roots and united together, the larger root hung below the smallest one it meets; paths are
+    then halved until flat. Rounds go on until no link joins two trees, a few even for long chains.
+    """
     codes, names = pd.factorize(np.concatenate([a, b]), sort=True)
-    parent = list(range(len(names)))
-    m = len(a)
-    for x, y in zip(codes[:m].tolist(), codes[m:].tolist(), strict=True):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        while parent[y] != y:
-            parent[y] = parent[parent[y]]
-            y = parent[y]
-        if x < y:
-            parent[y] = x
-        elif y < x:
-            parent[x] = y
-    for i in range(len(parent)):  # a parent is never larger than its child
-        parent[i] = parent[parent[i]]
-    return names, names[np.array(parent, np.int64)] if len(names) else names
+    parent = np.arange(len(names))
+    x, y = codes[: len(a)], codes[len(a) :]
+    while len(x):
+        high, low = np.maximum(parent[x], parent[y]), np.minimum(parent[x], parent[y])
+        open_ = high > low
+        if not open_.any():
+            break
+        x, y = x[open_], y[open_]
+        np.minimum.at(parent, high[open_], low[open_])
+        while True:
+            above = parent[parent]
+            if (above == parent).all():
+                break
+            parent = above
+    return names, names[parent]
 
 
 def _forests(most: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -66,35 +69,39 @@ def _forests(most: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 def components(links: DataFrame, a: str, b: str, task_links: int = TASK_LINKS) -> DataFrame:
     """(node, root): every node that occurs in a link, with the smallest node (as a string) that it hangs together with.
 
-    Each task builds a union-find forest of its links and passes on one link per node, node to root. Nodes that are their own
-    root are set aside; the links of the others are merged level by level in ever fewer tasks of at most about ``task_links``
-    links, dealt out by node so that trees sharing a node meet; once they fit one task, that ends it with a single forest.
-    Beyond that size no task takes more: levels go on, each followed by one step from roots to the roots of roots (a join),
-    until no node has two roots and no root hangs on another node. Levels are written to the checkpoint folder; only their
-    sizes come to the driver. Links with a null end are ignored; a node linked to itself is a tree.
+    Each task builds a union-find forest of its links. Once all links fit one task of ``task_links``, a single forest ends
+    it. Until then every level contracts: a node that is no root anywhere is set aside below the smallest of its roots, and
+    what goes on are links between roots, so levels shrink. In the end the nodes set aside take the roots of their roots, level
+    by level backwards. Every level is written to the checkpoint folder; only their sizes come to the driver. A node links
+    to at most one root a task, so no task takes more than its share. Links with a null end are ignored; a node linked to
+    itself is a tree.
     """
     made = "node string, root string"
     most = 2 * task_links
-    current = (
+    tied = (
         links.select(F.col(a).cast("string").alias("_a"), F.col(b).cast("string").alias("_b"))
         .where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
         .select(F.greatest("_a", "_b").alias("node"), F.least("_a", "_b").alias("root"))
         .distinct()
     )
-    current = cut(current.mapInArrow(_forests(most), made).distinct())
-    own = current.where("node = root")
-    current = current.where("node != root")
-    while (size := current.count()) > task_links:
-        forest = current.repartition(math.ceil(size / task_links), "node").mapInArrow(_forests(most), made).where("node != root").distinct()
-        up = forest.groupBy(F.col("node").alias("root")).agg(F.min("root").alias("_up"))
-        current = cut(forest.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")).distinct())
-        roots = current.groupBy("node").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-        hanging = current.select(F.col("node").alias("root")).distinct()
-        if roots.where("least != most").isEmpty() and current.join(hanging, "root", "left_semi").isEmpty():
-            break
-    else:
-        current = current.repartition(1).mapInArrow(_forests(math.inf), made)
-    return current.unionByName(own).groupBy("node").agg(F.min("root").alias("root"))
+    forest = cut(tied.mapInArrow(_forests(most), made).distinct())
+    own, forest = forest.where("node = root"), forest.where("node != root")
+    aside: list[DataFrame] = []
+    while (size := forest.count()) > task_links:
+        least = F.min("root").over(Window.partitionBy("node"))
+        marked = cut(forest.withColumn("least", least))
+        roots = forest.select(F.col("root").alias("node")).distinct()
+        aside.append(marked.where("root = least").join(roots, "node", "left_anti").select("node", "root"))
+        between = marked.where("root != least").select(F.col("root").alias("node"), F.col("least").alias("root"))
+        above = forest.join(roots, "node", "left_semi")
+        rest = between.unionByName(above).select(F.greatest("node", "root").alias("node"), F.least("node", "root").alias("root"))
+        forest = cut(rest.distinct().repartition(math.ceil(size / task_links)).mapInArrow(_forests(most), made).where("node != root").distinct())
+    known = forest.repartition(1).mapInArrow(_forests(math.inf), made)
+    for level in reversed(aside):
+        known = cut(known)
+        up = known.select(F.col("node").alias("root"), F.col("root").alias("_up"))
+        known = known.unionByName(level.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root")))
+    return known.unionByName(own).groupBy("node").agg(F.min("root").alias("root"))
 
 
 def group_records(records: DataFrame, record: str, strong: str, weak: str, group: str = "group_key") -> DataFrame:
@@ -125,45 +132,27 @@ def group_records(records: DataFrame, record: str, strong: str, weak: str, group
 def deal(sizes: Sequence[tuple[int, int]], shares: Sequence[float]) -> dict[int, list[int]]:
     """How many groups of each size every split gets, largest groups first, each to the split furthest below its target.
 
-    ``sizes`` holds (records in a group, groups of that size). Groups of one size are dealt out together: the same as one by
-    one, but a long row of equal groups takes a few steps, since each step first gives every split what it can take while it
-    stays behind. Ties go to the earlier split.
+    ``sizes`` holds (records in a group, groups of that size); ``shares`` may have any sum. Ties go to the earlier split.
+    Each group given to a split lowers what it lacks by the group's size, so one by one the greedy choice takes the largest of
+    all the values lack - j * size. For k groups of one size these are the k largest: the level above which at most k of them
+    lie is found by bisection, and the few groups left at that level are dealt out one by one.
     """
     total = sum(n * k for n, k in sizes)
     target = [s * total for s in shares]
-    have = [0.0] * len(shares)
+    have = [0] * len(shares)
     out: dict[int, list[int]] = {}
     for n, k in sorted(sizes, reverse=True):
-        got = [0] * len(shares)
-        left = k
-        if left > 1000:
-            lack = [max(0.0, t - h) for t, h in zip(target, have, strict=True)]
-            scale = sum(lack)
-            if scale > 0:
-                # all splits come down to a common lack; whole groups short of that level are certain
-                level, goal = 0.0, left * n
-                order = sorted(lack, reverse=True) + [0.0]
-                spent = 0.0
-                for i in range(len(lack)):
-                    step = (order[i] - order[i + 1]) * (i + 1)
-                    if spent + step >= goal:
-                        level = order[i] - (goal - spent) / (i + 1)
-                        break
-                    spent += step
-                for i, x in enumerate(lack):
-                    sure = min(left, max(0, int((x - level) / n) - 1))
-                    got[i] += sure
-                    have[i] += sure * n
-                    left -= sure
-        for _ in range(left if left <= 100_000 else 0):
-            i = max(range(len(shares)), key=lambda j: target[j] - have[j])
+        lack = [t - h for t, h in zip(target, have, strict=True)]
+        above = lambda level, lack=lack, n=n: [max(0, math.ceil((x - level) / n)) for x in lack]
+        low, high = min(lack) - n * (k + 1), max(lack)
+        for _ in range(100):
+            middle = (low + high) / 2
+            low, high = (low, middle) if sum(above(middle)) <= k else (middle, high)
+        got = [max(0, x - 1) for x in above(high)]  # one less each: rounding at the level is settled below
+        for _ in range(k - sum(got)):
+            i = max(range(len(shares)), key=lambda j: target[j] - (have[j] + got[j] * n))
             got[i] += 1
-            have[i] += n
-        if left > 100_000:  # all splits are full: the rest in proportion
-            for i in range(len(shares)):
-                more = int(left * shares[i]) if i else left - sum(int(left * s) for s in shares[1:])
-                got[i] += more
-                have[i] += more * n
+        have = [h + g * n for h, g in zip(have, got, strict=True)]
         out[n] = got
     return out
 
@@ -188,6 +177,6 @@ def assign_splits(grouped: DataFrame, group: str, splits: dict[str, float], seed
                 rows.append((n, upto, upto + k, name))
             upto += k
     table = spark.createDataFrame(rows, "_size bigint, _from bigint, _to bigint, _split string")
-    ranked = rank_and_running(groups, ["_size"], [F.xxhash64(F.col(group), F.lit(seed)), F.col(group)], rank="_rank")
+    ranked = rank_and_running(groups, ["_size"], [F.md5(F.concat(F.col(group).cast("string"), F.lit(f" {seed}"))), F.col(group)], rank="_rank")
     chosen = ranked.join(table, (ranked["_size"] == table["_size"]) & (F.col("_rank") > F.col("_from")) & (F.col("_rank") <= F.col("_to")))
     return grouped.drop(split).join(chosen.select(group, F.col("_split").alias(split)), group, "left")

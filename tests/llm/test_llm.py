@@ -256,34 +256,63 @@ def test_capping(spark):
 
 @pytest.mark.parametrize(
     "a,b,same",
-    [("ˈtojə", "'tојә", True), ("ɛ̰́", "ɛ̰́", True), ("ａ b", "a b", True), ("g‍ε", "ɡɛ", True), ("oː", "o:", True), ("kʷ", "kw", False), ("tʰ", "th", False), ("e", "ɛ", False), ("ɪ", "i", False), ("oː", "o", False), ("é", "e", False), ("ê", "ê", True), ("ã", "ã", True), ("ˈa", "a", False)],
+    [("ˈtojə", "'tојә", True), ("ɛ̰́", "ɛ̰́", True), ("ａ b", "a b", True), ("g‍ε", "ɡɛ", True), ("oː", "o:", True), ("kʷ", "kw", False), ("tʰ", "th", False), ("e", "ɛ", False), ("ɪ", "i", False), ("oː", "o", False), ("é", "e", False), ("ê", "ê", True), ("ã", "ã", True), ("ˈa", "a", False), ("ﬁt", "fit", True), ("Ⅷ", "VIII", True), ("a‐b‑c", "a-b-c", True), ("ﬀ", "f", False), ("²", "2", False)],
 )
 def test_looks(a, b, same):
-    x, y = lookalike.canonical([a, b])
+    x, y = lookalike.canonical([a, b]).to_pylist()
     assert (x == y) is same
 
 
+def forms(texts, phonetic=True):
+    return lookalike.canonical(texts, phonetic).to_pylist()
+
+
 def test_canonical_of_batches():
-    assert lookalike.canonical([]) == [] and lookalike.canonical([None, "", "​"]) == [None, "", ""]
-    many = ["x̰́" * 3, "", None, "é" * 100_000]
-    assert lookalike.canonical(many) == [lookalike.canonical([m])[0] for m in many]
+    import pyarrow as pa
+
+    assert forms([]) == [] and forms([None, "", "\u200b", "  "]) == [None, "", "", ""]
+    many = ["x̰́" * 3, "", None, "é" * 100_000, "ë" + "\u0301\u0323" * 500, " a ", None]
+    assert forms(many) == [forms([m])[0] for m in many]
+    assert forms(pa.array(many).slice(1, 5)) == forms(many[1:6]) and forms(pa.array(many).slice(2, 1)) == [None]
     r = random.Random(7)
     for _ in range(200):  # what has only canonical differences meets in one form
-        t = "".join(r.choice("aeioṵ́̃ɛɔkʷ ") for _ in range(12))
-        assert len(set(lookalike.canonical([t, unicodedata.normalize("NFC", t), unicodedata.normalize("NFD", t)]))) == 1
+        t = "".join(r.choice("aeioṵ́̃ɛɔkʷ ") for _ in range(12))
+        assert len(set(forms([t, unicodedata.normalize("NFC", t), unicodedata.normalize("NFD", t)]))) == 1
+
+
+def test_marks_are_composed_as_in_nfc():
+    r = random.Random(17)
+    letters = "aeiouyAEIOUcnszgɛɔəɪBdxяиあかアשअ"
+    marks = "\u0300\u0301\u0302\u0303\u0304\u0306\u0307\u0308\u030a\u030b\u030c\u0323\u0324\u0325\u0327\u0328\u032d\u0331\u0330\u0338\u0345\u3099\u309a\u05b4\u093c"
+    texts = ["".join(r.choice(letters) + "".join(r.choice(marks) for _ in range(r.choice([0, 0, 1, 1, 2, 3, 5]))) for _ in range(r.randrange(1, 9))) for _ in range(4000)]
+    texts += [chr(c) for c in range(0xC0, 0x250)] + [chr(c) for c in range(0x1E00, 0x1F00)]
+    texts = [t for t in texts if all(lookalike._same_look(c) == c for c in t)]
+    held = lookalike.tables(False).twin
+    plain = [t for t in texts if all(held[ord(c)] == ord(c) for c in unicodedata.normalize("NFD", t))]
+    assert len(plain) > 2000 and forms(plain, False) == [unicodedata.normalize("NFC", t) for t in plain]
 
 
 def test_canonical_of_hangul_and_compatibility_ideographs():
     syllables = "".join(map(chr, range(0xAC00, 0xD7A4)))
-    assert lookalike.canonical([syllables]) == [unicodedata.normalize("NFD", syllables)]
-    assert lookalike.canonical([chr(0x2F800), chr(0x2FA1D)]) == [chr(0x4E3D), chr(0x2A600)]
+    assert forms([syllables, unicodedata.normalize("NFD", syllables)]) == [syllables] * 2
+    assert forms([chr(0x2F800), chr(0x2FA1D)]) == [chr(0x4E3D), chr(0x2A600)]
+
+
+def test_words_of_another_script_keep_their_letters():
+    kept = ["Москва большая", "слово сор", "Αθήνα και νερό"]
+    assert forms(kept, False) == kept
+    assert forms(["mоnеy Москва", "Ноmе", "сор"], False) == ["money Москва", "Home", "cop"]
 
 
-def test_pairs_of_looks(spark):
+def test_pairs_of_looks(spark, monkeypatch):
     data = [(1, "a", "k"), (2, "а", "k"), (3, "a", "k"), (3, "a", "k"), (4, "a​", "k"), (5, "b", "k"), (6, "а", "other"), (7, None, "k"), (None, "a", "k"), (8, "а", None)]
     df = spark.createDataFrame(data, "id long, t string, g string")
     assert rows(lookalike.lookalike_pairs(df, "id", "t", [F.col("g")])) == [(1, 2), (1, 4), (2, 3), (2, 4), (3, 4)]
     assert lookalike.lookalike_pairs(df.limit(0), "id", "t", [F.col("g")]).count() == 0
+    assert rows(lookalike.lookalike_classes(df, "id", "t", [F.col("g")])) == [(1, 1, "a", "a"), (2, 1, "а", "a"), (3, 1, "a", "a"), (4, 1, "a\u200b", "a")]
+    for most in (0, 10**9):
+        monkeypatch.setattr(lookalike, "BROADCAST_CLASSES", most)
+        assert lookalike.lookalike_pairs(df, "id", "t", [F.col("g")]).count() == 5
     assert lookalike.with_canonical(df.withColumn("_text", F.lit("mine")), "t", "c").where("_text <> 'mine'").count() == 0
 
 

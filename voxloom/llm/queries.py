@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from voxloom.functions.readings import in_force, recording, speaker_directory, s
 from voxloom.llm.capping import best_scores, cap_contributors
 from voxloom.llm.languages import fit_on_table, identify, label_findings
 from voxloom.llm.leakage import leaks
-from voxloom.llm.lookalike import lookalike_pairs, with_canonical
+from voxloom.llm.lookalike import lookalike_classes, lookalike_pairs, with_canonical
 from voxloom.llm.mixing import plan_mixes
 from voxloom.llm.quality import text_quality
 from voxloom.llm.splits import assign_splits, group_records
@@ -56,18 +58,29 @@ def p4_stretches(spark: SparkSession, sf: str) -> DataFrame:
     return whole.unionByName(parts)
 
 
+_IPA_TABLES = {
+    "curated_tts_manifest": ("clip_id", "phonemes", lambda: [recording(F.col("wav"))]),
+    "g2p_overrides": ("override_id", "ipa", lambda: [F.col("lang"), F.col("word")]),
+    "g2p_rules": ("rule_id", "ipa", lambda: [F.col("lang"), F.col("pattern")]),
+}
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of records whose phonemes or IPA look the same but differ in characters."""
-    tables = {
-        "curated_tts_manifest": ("clip_id", "phonemes", lambda: [recording(F.col("wav"))]),
-        "g2p_overrides": ("override_id", "ipa", lambda: [F.col("lang"), F.col("word")]),
-        "g2p_rules": ("rule_id", "ipa", lambda: [F.col("lang"), F.col("pattern")]),
-    }
-    found = None
-    for name, (record, text, within) in tables.items():
-        pairs = lookalike_pairs(_t(spark, sf, name), record, text, within()).select(F.lit(name).alias("record_table"), "id_a", "id_b")
-        found = pairs if found is None else found.unionByName(pairs)
-    return found
+    found = [
+        lookalike_pairs(_t(spark, sf, name), record, text, within()).select(F.lit(name).alias("record_table"), "id_a", "id_b")
+        for name, (record, text, within) in _IPA_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def p5_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Records whose phonemes or IPA look like another spelling's: one row each, with their class and the consistent form."""
+    found = [
+        lookalike_classes(_t(spark, sf, name), record, text, within()).select(F.lit(name).alias("record_table"), F.col(record).alias("id"), "class_id", "look")
+        for name, (record, text, within) in _IPA_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def p5_canonical(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,6 +162,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_stretches": p4_stretches,
     "p5_found": p5_found,
+    "p5_classes": p5_classes,
     "p5_canonical": p5_canonical,
     "p6_found": p6_found,
     "p6_share": p6_share,

@@ -7,7 +7,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Two-letter codes with their three-letter codes, English names and own names.
+# Parameters: two-letter codes with their three-letter codes, English names and own names.
 LANGUAGES = {
     "ak": ("aka", "akan", "twi", "tw", "fante", "fat"),
     "de": ("deu", "ger", "german", "deutsch"),
@@ -16,8 +16,22 @@ LANGUAGES = {
     "fr": ("fra", "fre", "french", "français", "francais"),
     "pt": ("por", "portuguese", "português", "portugues"),
     "sw": ("swa", "swh", "swc", "swahili", "kiswahili"),
+    "it": ("ita", "italian", "italiano"),
+    "nl": ("nld", "dut", "dutch", "nederlands"),
+    "sv": ("swe", "swedish", "svenska"),
+    "no": ("nor", "nob", "nno", "nb", "nn", "norwegian", "norsk"),
+    "da": ("dan", "danish", "dansk"),
+    "pl": ("pol", "polish", "polski"),
+    "ru": ("rus", "russian", "русский"),
+    "zh": ("zho", "chi", "cmn", "chinese", "mandarin", "中文"),
+    "ja": ("jpn", "japanese", "日本語"),
+    "ar": ("ara", "arabic", "العربية"),
+    "hi": ("hin", "hindi", "हिन्दी"),
+    "yo": ("yor", "yoruba"),
+    "ig": ("ibo", "igbo"),
+    "ha": ("hau", "hausa"),
 }
-# Labels that name no language.
+# Parameters: labels that name no language.
 NO_LANGUAGE = ("", "unknown", "unk", "und", "xx", "xxx", "zxx", "mul", "mis", "n/a", "na", "none", "null", "nan", "other", "?", "-", "undefined", "undetermined")
 
 _KNOWN = {name: code for code, names in LANGUAGES.items() for name in (code, *names)}

@@ -100,7 +100,7 @@ _SENT = r"""(SELECT doc_id, CAST(i - 1 AS INT) AS sentence_no, trim(s) AS senten
     WHERE length(trim(s)) > 0)"""
 _CODE = """(SELECT CASE WHEN l IS NULL OR l IN ('','unknown','unk','und','xx','xxx','zxx','mul','mis','n/a','na','none','null','nan','other','?','-','undefined','undetermined') OR st IN ('','unknown','unk','und','xx','xxx','zxx','mul','mis','n/a','na','none','null','nan','other','?','-','undefined','undetermined') THEN NULL
   ELSE coalesce(list_extract(map_extract(m, l), 1), list_extract(map_extract(m, st), 1), st) END FROM (SELECT lower(trim({0})) AS l, regexp_extract(lower(trim({0})), '^([^-_]*)', 1) AS st,
-  MAP {{'ak':'ak','aka':'ak','akan':'ak','twi':'ak','tw':'ak','fante':'ak','fat':'ak','de':'de','deu':'de','ger':'de','german':'de','deutsch':'de','en':'en','eng':'en','english':'en','es':'es','spa':'es','spanish':'es','fr':'fr','fra':'fr','fre':'fr','french':'fr','pt':'pt','por':'pt','portuguese':'pt','sw':'sw','swa':'sw','swh':'sw','swc':'sw','swahili':'sw','kiswahili':'sw'}} AS m))"""
+  MAP {{'ak':'ak','aka':'ak','akan':'ak','twi':'ak','tw':'ak','fante':'ak','fat':'ak','de':'de','deu':'de','ger':'de','german':'de','deutsch':'de','en':'en','eng':'en','english':'en','es':'es','spa':'es','spanish':'es','fr':'fr','fra':'fr','fre':'fr','french':'fr','pt':'pt','por':'pt','portuguese':'pt','sw':'sw','swa':'sw','swh':'sw','swc':'sw','swahili':'sw','kiswahili':'sw','it':'it','ita':'it','italian':'it','italiano':'it','nb':'no','nn':'no','norwegian':'no'}} AS m))"""
 _CLASSES = f"""SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS class_id, count(*) OVER (PARTITION BY h) AS n_copies FROM (
     SELECT doc_id, sha256({_NORM.format('text')}) AS h FROM documents WHERE text IS NOT NULL)"""
 _HOST = "'www.' || replace(trim(source), '_', '-') || '.example.org'"

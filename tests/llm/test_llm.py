@@ -357,6 +357,57 @@ def test_languages(spark, identifier):
     assert languages.identify(df.limit(0), "text", languages.fit_on([], [])).count() == 0
 
 
+def test_open_set_of_languages(spark, identifier):
+    strange = {
+        "it": "La vecchia maestra cantava una canzone sulla pioggia vicino al porto della città ogni sera.",
+        "no": "Den gamle læreren leste et dikt om månen ved havnen i byen hver kveld.",
+        "ru": "Старый учитель читал стихотворение о луне на рынке в городе",
+        "zh": "老老师在市场上读了一首关于月亮的诗",
+    }
+    data = [(i, t, l) for i, (l, t) in enumerate(strange.items())] + [(10 + i, t, None) for i, t in enumerate(strange.values())]
+    data += [(20, "The old teacher explained a poem about the moon.", "it"), (21, "The old teacher explained a poem about the moon.", "Norwegian")]
+    done = languages.identify(spark.createDataFrame(data, "segment_id long, text string, lang string"), "text", identifier)
+    assert rows(languages.label_findings(done, "segment_id", "lang")) == sorted([*((10 + i, "missing", "und") for i in range(4)), (20, "wrong", "en"), (21, "wrong", "en")], key=str)
+
+
+def test_languages_come_from_the_labels(spark):
+    r = random.Random(3)
+    sounds = {"pl": "szcz prz ły ów nie", "cs": "ře ště ou ní če", "en": "th wh ing ous ed"}
+    words = {l: ["".join(r.choice(x.split()) + r.choice("aeo") for _ in range(2)) for _ in range(40)] for l, x in sounds.items()}
+    texts = [(" ".join(r.choice(words[l]) for _ in range(8)), l) for l in words for _ in range(150)]
+    noise = [(t, "fi") for t, _ in texts[::9]]  # a label that is only ever wrong
+    df = spark.createDataFrame(texts + noise, "text string, lang string")
+    model = languages.fit_on_table(df, "text", "lang")
+    assert model.langs == ("cs", "en", "pl") and list(model.pairs) == [(0, 2)]
+    got = languages.identify(df.limit(450), "text", model)
+    assert got.where("main_lang <> lang").count() == 0
+
+
+def test_spans_in_characters(spark, identifier):
+    text = "El doctor leyó la carta de casa.  The bus driver copied the rules of the game! La vieja maestra cantó la historia del puerto."
+    apart = unicodedata.normalize("NFD", text)
+    found = [x.index("The bus") for x in (text, apart)], [x.index("!") for x in (text, apart)]
+    spans = [[[found[0][0], found[1][0]], [0, 12], [5]], None]
+    df = spark.createDataFrame([(1, text, spans[0]), (2, apart, spans[1]), (3, None, [[0, 4]]), (4, None, None)], "segment_id long, text string, spans array<array<long>>")
+    done = languages.identify(df, "text", identifier)
+    got = rows(languages.span_findings(done, "segment_id", "spans"))
+    assert got == sorted(
+        [(1, found[0][0], found[1][0], "en", "confirmed"), (1, 0, 12, None, "unconfirmed"), (1, 5, None, None, "unconfirmed"), (2, found[0][1], found[1][1], "en", "unlabelled"), (3, 0, 4, None, "unconfirmed")],
+        key=str,
+    )
+
+
+def test_recall_of_right_spans(spark):
+    """Right spans cover whole clauses; the table's wrong ones begin a text or break off inside a word."""
+    got = queries.p4_spans(spark, "/root/testdata/sf0.1").where("kind <> 'unlabelled'")
+    text = spark.read.parquet("/root/testdata/sf0.1/text_segments.parquet").select("segment_id", "text").distinct()
+    around = got.join(text, "segment_id").withColumn("ahead", F.expr("substring(text, start_char - 1, 2)")).withColumn("last", F.expr("substring(text, end_char, 2)"))
+    right = around.where(r"start_char > 0 AND ahead rlike '[.,!?-] ' AND (last rlike '[.,!?] ?' OR last rlike '\\w[.,!? ]' OR length(last) = 1)")
+    n, ok = right.count(), right.where("kind = 'confirmed'").count()
+    print("right spans", n, "confirmed", ok)
+    assert n > 1000 and ok / n >= 0.9
+
+
 def test_leaks(spark):
     long = "The poet Kino wrote about the old bridge near the market of Pedo in 1999. Then all went home again."
     items = spark.createDataFrame([(1, long), (2, "Short item with Mino"), (3, None), (4, "..."), (1, long)], "item_id long, text string")

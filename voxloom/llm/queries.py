@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.readings import in_force, recording, speaker_directory, speaker_key
 from voxloom.llm.capping import best_scores, cap_contributors
-from voxloom.llm.languages import fit_on_table, identify, label_findings
+from voxloom.llm.languages import fit_on_table, identify, label_findings, span_findings
 from voxloom.llm.leakage import leaks
 from voxloom.llm.lookalike import lookalike_classes, lookalike_pairs, with_canonical
 from voxloom.llm.mixing import plan_mixes
@@ -41,7 +41,7 @@ def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _identified(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _t(spark, sf, "text_segments").select("segment_id", "text", "lang")
+    rows = _t(spark, sf, "text_segments").select("segment_id", "text", "lang", F.col("labels.code_switch_spans").alias("spans"))
     return identify(spread(rows, "segment_id"), "text", fit_on_table(rows, "text", "lang"))
 
 
@@ -51,13 +51,19 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_stretches(spark: SparkSession, sf: str) -> DataFrame:
-    """Language and confidence of every text, and of every stretch in another language (first_word is null for the text)."""
+    """Language and confidence of every text, and of every stretch in another language (offsets are null for the text)."""
+    places = ["first_word", "n_words", "start_char", "end_char"]
     rows = _identified(spark, sf).select("segment_id", "main_lang", "confidence", "stretches").distinct()
-    whole = rows.select("segment_id", F.col("main_lang").alias("lang"), F.lit(None).cast("int").alias("first_word"), F.lit(None).cast("int").alias("n_words"), "confidence")
-    parts = rows.select("segment_id", F.explode("stretches").alias("s")).select("segment_id", "s.lang", "s.first_word", "s.n_words", "s.confidence")
+    whole = rows.select("segment_id", F.col("main_lang").alias("lang"), *[F.lit(None).cast("int").alias(c) for c in places], "confidence")
+    parts = rows.select("segment_id", F.explode("stretches").alias("s")).select("segment_id", "s.lang", *[f"s.{c}" for c in places], "s.confidence")
     return whole.unionByName(parts)
 
 
+def p4_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Stretches in another language beside the labelled spans: confirmed, unlabelled and unconfirmed ones."""
+    return span_findings(_identified(spark, sf), "segment_id", "spans")
+
+
 _IPA_TABLES = {
     "curated_tts_manifest": ("clip_id", "phonemes", lambda: [recording(F.col("wav"))]),
     "g2p_overrides": ("override_id", "ipa", lambda: [F.col("lang"), F.col("word")]),
@@ -161,6 +167,7 @@ QUERIES = {
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_stretches": p4_stretches,
+    "p4_spans": p4_spans,
     "p5_found": p5_found,
     "p5_classes": p5_classes,
     "p5_canonical": p5_canonical,

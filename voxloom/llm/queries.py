@@ -28,6 +28,11 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return speaker_turns(_t(spark, sf, "audio_segments"), _t(spark, sf, "speakers"))
 
 
+def p3_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean speaker turns with their texts, in parts of at most ten minutes."""
+    return speaker_turns(_t(spark, sf, "audio_segments"), _t(spark, sf, "speakers"), with_text=True)
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     """Each clip with the group of clips it hangs together with by speaker or recording."""
     clips = _t(spark, sf, "curated_tts_manifest").select("clip_id", speaker_key(F.col("speaker_id")).alias("speaker_key"), recording(F.col("wav")).alias("recording"))
@@ -165,6 +170,7 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_splits": p2_splits,
     "p3_found": p3_found,
+    "p3_turns": p3_turns,
     "p4_found": p4_found,
     "p4_stretches": p4_stretches,
     "p4_spans": p4_spans,

@@ -1,6 +1,7 @@
 """Problems 2 to 9: hand cases, brute force, and the defined results for nulls, empty tables, ties, repeats and long texts."""
 
 import random
+import re
 import unicodedata
 from collections import Counter, defaultdict
 
@@ -670,6 +671,37 @@ def test_layout_decides_where_words_do_not():
     assert quality.describe([flat, speech, same, verse])[1] == ["prose"] * 4
 
 
+def test_each_signal_of_the_layout_decides():
+    """Without any one of the three signals its case comes out otherwise."""
+    r = random.Random(21)
+    made = lambda k: " ".join("".join(r.choice("bdfgklmnrt") + r.choice("aeiou") for _ in range(3)) for _ in range(k))
+    table = "\n".join(f"{made(3)}\t{made(3)}\t{made(2)}" for _ in range(6))
+    nested = "\n".join("    " * (i % 3 > 0) + made(r.randrange(5, 9)) for i in range(12))
+    pairs = "\n".join(made(5 if i % 2 else 11) for i in range(12))
+    for signal, text, kind in (("alignment", table, "table"), ("indentation", nested, "list"), ("lengths", pairs, "list")):
+        assert quality.describe([text])[1] == [kind]
+        others = [x for x in quality.SIGNALS if x != signal]
+        assert quality.describe([text], others)[1] != [kind], signal
+        assert quality.describe([text], [signal])[1] == [kind], signal
+
+
+def test_a_language_without_a_list_of_common_words():
+    sentence = "Stara nauczycielka czytała wczoraj wieczorem wiersz dzieciom mieszkającym obok portu rybackiego"
+    prose = [sentence + ".", sentence, sentence.lower(), "\n".join([sentence, "Rybak naprawiał sieci przed zachodem słońca nad zatoką.", "Burmistrz otworzył wystawę obrazów młodych malarzy?"])]
+    lists = ["- chleb\n- sól\n- mąka pszenna\n- świeże mleko", "chleb, sól, mąka, mleko, jajka, cebula", "1. młotek\n2. gwoździe\n3. długa deska"]
+    table = ["miasto;liczba;rok\nKraków;12;1999\nŁódź;7;2004\nGdańsk;5;2010", "| imię | wiek | dom |\n| --- | --- | --- |\n| Żaneta | 31 | Łódź |"]
+    assert quality.describe([*prose, *lists, *table])[1] == ["prose"] * 4 + ["list"] * 3 + ["table"] * 2
+
+
+def test_words_against_a_pattern():
+    r = random.Random(22)
+    for _ in range(200):
+        text = "".join(r.choice("abÄ9_ '’-.\n\t–İß") for _ in range(r.randrange(0, 60))).lower()
+        lines, codes, unique = quality._words(text)
+        found = [(i, m.group()) for i, s in enumerate(text.split("\n")) for m in re.finditer(r"[^\W_]+(?:['’-][^\W_]+)*", s)]
+        assert [(i, unique[c]) for i, c in zip(lines.tolist(), codes.tolist())] == found
+
+
 def test_statistics_of_lines_that_are_plainly_prose():
     at = quality.STATS.index
     indented = "\n".join("  " * (i % 2) + PROSE for i in range(8))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from voxloom.llm.batches import by_size
 
-# Common function words of each language.
+#: Common function words of each language: the share of common words is a statistic, and tells prose where there are such words.
 COMMON = {
     "ak": "no wɔ ho a mu so bi na ne sɛ ɛne yi hɔ biara nyinaa ase efi ɛfa nanso efisɛ enti",
     "de": "der die das den dem des ein eine einen einer und oder aber von zu zum zur mit in im an am auf über für bei nach vor ist nicht es er sie ich denn",
@@ -27,15 +28,17 @@ COMMON = {
     "sw": "ya wa cha vya za la kwa na katika ni kuhusu mwa kwenye lakini au kama hiyo kila ndani baada mbele nyuma karibu",
 }
 COMMON_WORDS = frozenset(w for words in COMMON.values() for w in words.split())
-# Characters that pile up where UTF-8 was read as an eight-bit code.
+#: Characters that pile up where UTF-8 was read as an eight-bit code.
 MOJIBAKE = frozenset("ÃÂ¤¶»¼½¾¿™€œŸžï�ðŸ¢£¥¦§¨©¬®¯°±²³´µ¸¹º")
 
+#: What of the layout may decide.
+SIGNALS = ("alignment", "indentation", "lengths")
 KINDS = ("prose", "list", "table", "junk")
 PROSE, LIST, TABLE, JUNK = range(4)
 UNDECIDED = 4  # a line that only the layout around it tells
 
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
-_TOKEN = re.compile(r"\n|[^\W_]+(?:['’-][^\W_]+)*")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 _MARKER = re.compile(r"\s*(?:[-*+•·‣◦▪–—>]|\[[ xX✓]?\]|\(?\d{1,4}[.):]|\(?[A-Za-z][.)])\s+")
 _RULE = re.compile(r"[\s|+=:_-]*[-=_|][\s|+=:_-]*")
 _PAIR = re.compile(r"[^:]{1,40}:\s+\S")
@@ -52,7 +55,8 @@ _BREAK = "\x1e"  # between the texts of a batch, on a line of its own
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
-    """Bits of every code point: 1 letter or digit, 2 white space, 4 mojibake, 8 a delimiter of cells or items."""
+    """Bits of every code point: 1 letter or digit, 2 white space, 4 mojibake, 8 a delimiter of cells or items, 16 a sign of codes,
+    32 a hexadecimal digit."""
     bits = np.zeros(0x110000, np.uint8)
     for cp in range(0x110000):
         ch = chr(cp)
@@ -64,6 +68,10 @@ def _classes() -> np.ndarray:
         bits[ord(ch)] |= 4
     for ch in "\t|;,/·•":
         bits[ord(ch)] |= 8
+    for ch in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-":
+        bits[ord(ch)] |= 16
+    for ch in "0123456789abcdefABCDEF":
+        bits[ord(ch)] |= 32
     return bits
 
 
@@ -75,14 +83,14 @@ def _cells(line: str, delimiter: str) -> list[str]:
 
 def _wordlike(word: str) -> bool:
     """Whether a word could be said: some vowels, no endless run of consonants, no digits among its letters."""
-    if word.isdigit():
+    if len(word) < 3 or word.isdigit():
         return True
     if len(word) > 30:
         return False
     vowels = len(_VOWEL.findall(word))
     if not vowels and not word.isascii():
         return True
-    return len(word) < 3 or (vowels >= 0.15 * len(word) and not _CLUSTER.search(word) and not any(c.isdigit() for c in word))
+    return vowels >= 0.15 * len(word) and not _CLUSTER.search(word) and not any(map(str.isdigit, word))
 
 
 def _ends(line: str) -> bool:
@@ -147,32 +155,80 @@ def aligned_rows(lines: list[str]) -> list[bool]:
     return row
 
 
-def _line_kind(line: str, is_row: bool, words: int, common: int, strange: int, chars: int, solid: int, odd: int) -> tuple[int, bool]:
-    """(kind, unsure) of one line that isn't blank, from its counts and layout."""
-    body = line.strip()
-    if len(body) > 2 and _RULE.fullmatch(body):
-        return (TABLE if "|" in body or "+" in body else PROSE), True
-    marker = _MARKER.match(line)
-    if is_row and solid >= 0.2 * chars and _common_share(body) < 0.25:
-        return TABLE, False
-    if odd > 0.15 * chars or (solid < 0.45 * chars and chars >= 8) or (solid < 0.65 * chars and chars >= 10 and " " not in body):
-        return JUNK, False
-    if words == 0 and solid < 0.45 * chars:
-        return JUNK, False
-    tokens = [t for t in body.split() if len(t) > 1 or t.isalnum()]
-    if len(tokens) >= 5 and Counter(tokens).most_common(1)[0][1] > 0.5 * len(tokens):
-        return JUNK, False
-    if words >= 3 and strange > 0.5 * words or sum(map(len, _CODE.findall(body))) > 0.5 * chars:
-        return JUNK, False
-    content = line[marker.end() :] if marker else body
-    listing = _listing(content)
-    if not listing and (words >= 4 and common >= 0.12 * words or words >= 5 and _ends(content)):
-        return PROSE, False
-    if listing or marker or (words <= 6 and _PAIR.match(body)):
-        return LIST, False
-    if words <= 4:
-        return LIST, True
-    return UNDECIDED, False
+def _repeats(line: str) -> bool:
+    """Whether one token makes up more than half of a line of five or more."""
+    tokens = [t for t in line.split() if len(t) > 1 or t.isalnum()]
+    return len(tokens) >= 5 and Counter(tokens).most_common(1)[0][1] > 0.5 * len(tokens)
+
+
+def _long_runs(inside: np.ndarray, least: int, begin: np.ndarray) -> np.ndarray:
+    """Which lines (by where they begin) hold a run of at least ``least`` characters that are ``inside``."""
+    out = np.flatnonzero(np.r_[True, ~inside, True]) - 1
+    at = out[:-1][np.diff(out) > least] + 1
+    found = np.zeros(len(begin), bool)
+    found[np.searchsorted(begin, at, "right") - 1] = True
+    return found
+
+
+@dataclass
+class Lines:
+    """Counts per line: words, common and strange ones, the most frequent one's number; characters that aren't space, letters and
+    digits, mojibake, delimiters; whether it has a marker, ends like a sentence, or holds something like a code."""
+
+    text: list[str]
+    words: np.ndarray
+    common: np.ndarray
+    strange: np.ndarray
+    most: np.ndarray
+    chars: np.ndarray
+    solid: np.ndarray
+    odd: np.ndarray
+    marks: np.ndarray
+    marker: np.ndarray
+    ended: np.ndarray
+    coded: np.ndarray
+
+    def at(self, which: np.ndarray, test: Callable[[str], bool]) -> np.ndarray:
+        """``test`` of the lines where ``which`` holds, False elsewhere."""
+        out = np.zeros(len(which), bool)
+        at = np.flatnonzero(which)
+        out[at] = [test(self.text[i]) for i in at.tolist()]
+        return out
+
+
+def _line_kinds(x: Lines, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(kind, unsure) of every line, -1 where it is blank: by alignment first, then by symbols and odd words, then by words, sentence
+    ends, listings and markers. Only lines whose counts leave a test open are looked at as text."""
+    kind = np.where(x.chars == 0, -1, -2)
+    unsure = np.zeros(len(kind), bool)
+
+    def settle(which: np.ndarray, as_: int | np.ndarray, sure: bool = True) -> None:
+        which = which & (kind == -2)
+        kind[which] = as_[which] if isinstance(as_, np.ndarray) else as_
+        unsure[which] |= not sure
+
+    open_ = kind == -2
+    rule = x.at(open_ & (x.chars > 2) & (x.solid <= 0.1 * x.chars), lambda s: len(s.strip()) > 2 and bool(_RULE.fullmatch(s.strip())))
+    settle(rule, np.where(x.at(rule, lambda s: "|" in s or "+" in s), TABLE, PROSE), False)
+    settle(x.at(row & (kind == -2) & (x.solid >= 0.2 * x.chars), lambda s: _common_share(s.strip()) < 0.25), TABLE)
+    symbols = (x.odd > 0.15 * x.chars) | (x.solid < 0.45 * x.chars) & ((x.chars >= 8) | (x.words == 0))
+    settle(symbols, JUNK)
+    settle(x.at((kind == -2) & (x.solid < 0.65 * x.chars) & (x.chars >= 10), lambda s: " " not in s.strip()), JUNK)
+    settle(x.at((kind == -2) & ((x.most >= 3) & (x.most >= 0.15 * x.words) | (x.solid < 0.8 * x.chars)), _repeats), JUNK)
+    settle((x.words >= 3) & (x.strange > 0.5 * x.words), JUNK)
+    settle(x.at((kind == -2) & x.coded, lambda s: 2 * sum(map(len, _CODE.findall(s.strip()))) > len("".join(s.split()))), JUNK)
+
+    def content(s: str) -> str:
+        m = _MARKER.match(s)
+        return s[m.end() :] if m else s.strip()
+
+    listing = x.at((kind == -2) & (x.marks >= 3), lambda s: _listing(content(s)))
+    settle(~listing & ((x.words >= 4) & (x.common >= 0.12 * x.words) | (x.words >= 5) & x.ended), PROSE)
+    settle(listing | x.marker, LIST)
+    settle(x.at((kind == -2) & (x.words <= 6), lambda s: bool(_PAIR.match(s.strip()))), LIST)
+    settle(x.words <= 4, LIST, False)
+    settle(kind == -2, UNDECIDED)
+    return kind, unsure
 
 
 def _recurs(x: np.ndarray, share: int) -> bool:
@@ -187,7 +243,7 @@ def _recurs(x: np.ndarray, share: int) -> bool:
     return bool((np.fft.irfft(power, 2 * n)[lags] * n >= 0.8 * v * (n - lags)).any())
 
 
-def _by_layout(lines: list[str], kinds: list[int], indent: np.ndarray) -> None:
+def _by_layout(lines: list[str], kinds: list[int], indent: np.ndarray, signals: Sequence[str] = SIGNALS) -> None:
     """Lines that neither words nor marks decide: items where the stretch of such lines and items is laid out regularly, else prose.
 
     Regular are four lines or more whose indentation comes again, and six or more whose lengths do, at least three times over.
@@ -203,18 +259,13 @@ def _by_layout(lines: list[str], kinds: list[int], indent: np.ndarray) -> None:
             if open_lines and len({lines[j] for j in stretch}) > 1 and not any(_SENTENCE.search(lines[j]) for j in open_lines):
                 for part in (stretch, open_lines):  # with the short lines and marked items around, and without
                     deep, long = indent[part], np.array([len(lines[j].strip()) for j in part], float)
-                    regular |= (len(part) >= 4 and bool(deep.any()) and _recurs(deep, 2)) or (len(part) >= 6 and _recurs(long, 3))
+                    regular |= "indentation" in signals and len(part) >= 4 and bool(deep.any()) and _recurs(deep, 2)
+                    regular |= "lengths" in signals and len(part) >= 6 and _recurs(long, 3)
             for j in open_lines:
                 kinds[j] = LIST if regular else PROSE
             stretch = []
 
 
-def _plain(line: str) -> bool:
-    """Whether no token can make up more than half of the line and none looks like code."""
-    tokens = [t for t in line.split() if len(t) > 1 or t.isalnum()]
-    return 2 * len(set(tokens)) >= len(tokens) + 2 and not any(len(t) >= 24 or (len(t) >= 12 and not t.isalpha()) for t in tokens)
-
-
 def _settle(lines: list[str], kinds: list[int], unsure: list[bool]) -> None:
     """Short lines without a marker: the end of a wrapped paragraph, a heading, or an item among items."""
     filled = sum(k >= 0 for k in kinds)
@@ -239,11 +290,35 @@ STATS = (
 )
 
 
-def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
+def _words(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(line, code into the distinct words, these) of every word: letters and digits, with single apostrophes and hyphens inside.
+
+    Words are told apart by a 64-bit hash of their code points, all from one running sum; only distinct ones become strings.
+    """
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.r_[False, (_classes()[points] & 1) > 0, False]
+    joint = np.flatnonzero((points == 0x27) | (points == 0x2019) | (points == 0x2D)) + 1
+    inside[joint] = inside[joint - 1] & inside[joint + 1]
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    with np.errstate(over="ignore"):
+        base, back = np.full(len(points), _BASE), np.full(len(points) + 1, np.uint64(pow(int(_BASE), -1, 1 << 64)))
+        base[:1], back[0] = 1, 1
+        sums = np.r_[np.uint64(0), np.cumsum((points + np.uint64(1)) * np.cumprod(base, dtype=np.uint64), dtype=np.uint64)]
+        hashes = (sums[end] - sums[start]) * np.cumprod(back, dtype=np.uint64)[start]
+        codes, distinct = pd.factorize((hashes ^ (hashes >> np.uint64(32))) * _BASE)
+    sample = np.zeros(len(distinct), np.int64)
+    sample[codes[::-1]] = np.arange(len(codes))[::-1]
+    lines = np.cumsum(points == 10)[start] if len(start) else start
+    return lines, codes, [text[a:b] for a, b in zip(start[sample].tolist(), end[sample].tolist(), strict=True)]
+
+
+def describe(texts: list[str], signals: Sequence[str] = SIGNALS) -> tuple[np.ndarray, list[str | None]]:
     """(one row of STATS per text, kinds). The kind holds most characters; null for a blank text.
 
-    Characters, words and indentation of a whole batch are counted per line by table lookups; only lines with delimiters or
-    too few common words are looked at one by one. Lines passed over can be neither rows of a table nor junk.
+    Characters, words, indentation and what follows from their counts are found for all lines of a batch by table lookups;
+    rows are looked for in texts with delimiters, and layouts where lines stay open. ``signals`` are those of the layout that may
+    decide: the alignment of delimiters, the periodicity of indentation, the autocorrelation of line lengths.
     """
     n = len(texts)
     docs = [t.replace(_BREAK, " ").replace("\r", "\n").split("\n") for t in texts]
@@ -262,37 +337,31 @@ def describe(texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
 
     solid, odd, marks = per_line(1), per_line(4), per_line(8)
     chars = size - (per_line(2) - 1)
-    tokens = np.array(_TOKEN.findall(joined.lower()), dtype=object)
-    codes, unique = pd.factorize(tokens)
-    feature = np.array([(1, 0, 0, 0) if u == "\n" else (0, u in COMMON_WORDS, not _wordlike(u), len(u)) for u in unique], np.int64).reshape(-1, 4)
-    stop = feature[codes, 0] == 1
-    line_of = (np.cumsum(stop) - stop)[~stop]
-    codes = codes[~stop]
+    line_of, codes, unique = _words(joined.lower())
+    feature = np.array([(0, u in COMMON_WORDS, not _wordlike(u), len(u)) for u in unique], np.int64).reshape(-1, 4)
     words, common, strange = (np.bincount(line_of, minlength=m), *(np.bincount(line_of, weights=feature[codes, k], minlength=m).astype(np.int64) for k in (1, 2)))
+    most = np.zeros(m, np.int64)
+    pair, times = np.unique(line_of * np.int64(len(unique) + 1) + codes, return_counts=True)
+    np.maximum.at(most, pair // (len(unique) + 1), times)
 
+    marker = np.array([bool(_MARKER.match(s)) for s in lines], bool)
+    ended = np.array([_ends(s) for s in lines], bool) & (chars > 0)
+    coded = _long_runs((bits & 16) > 0, 24, begin) | _long_runs((bits & 32) > 0, 12, begin) if m else np.zeros(0, bool)
     wide = np.array(["  " in s and bool(_SPACES.search(s.strip())) for s in lines], bool)
-    easy = (words >= 6) & (common >= 0.15 * words) & (strange <= 0.3 * words) & (marks < 2) & ~wide & (solid >= 0.7 * chars) & (odd <= 0.1 * chars)
-    easy[easy] = [_plain(lines[i]) for i in np.flatnonzero(easy)]
     cells = np.bincount(doc, weights=(marks >= 2) | wide, minlength=n) >= 2
-    kind = np.where(chars == 0, -1, np.where(easy, PROSE, -2))
     row = np.zeros(m, bool)
-    ended = np.array([_ends(s) for s in lines], bool) & (chars > 0)
-    unsure = np.zeros(m, bool)
+    for d in np.flatnonzero(cells).tolist() if "alignment" in signals else ():
+        a, b = first[d], first[d] + per_doc[d]
+        row[a:b] = aligned_rows(lines[a:b])
     ink = np.r_[np.flatnonzero((bits & 2) == 0), len(bits)]
-    indent = np.minimum(ink[np.searchsorted(ink, begin)] - begin, size) + 8 * np.array([bool(_MARKER.match(s)) for s in lines], np.int64)
-    for d in np.flatnonzero(cells | (np.bincount(doc, weights=kind == -2, minlength=n) > 0)) if m else ():
+    indent = np.minimum(ink[np.searchsorted(ink, begin)] - begin, size) + 8 * marker
+    kind, unsure = _line_kinds(Lines(lines, words, common, strange, most, chars, solid, odd, marks, marker, ended, coded), row)
+    for d in np.flatnonzero(np.bincount(doc, weights=unsure | (kind == UNDECIDED), minlength=n)).tolist() if m else ():
         a, b = first[d], first[d] + per_doc[d]
-        own = lines[a:b]
-        if cells[d]:
-            row[a:b] = aligned_rows(own)
-        for i in range(a, b):
-            if kind[i] == -2:
-                kind[i], unsure[i] = _line_kind(lines[i], row[i], words[i], common[i], strange[i], chars[i], solid[i], odd[i])
-        if unsure[a:b].any() or (kind[a:b] == UNDECIDED).any():
-            settled = kind[a:b].tolist()
-            _by_layout(own, settled, indent[a:b])
-            _settle(own, settled, unsure[a:b].tolist())
-            kind[a:b] = settled
+        settled = kind[a:b].tolist()
+        _by_layout(lines[a:b], settled, indent[a:b], signals)
+        _settle(lines[a:b], settled, unsure[a:b].tolist())
+        kind[a:b] = settled
 
     held = np.zeros((n, 4))
     np.add.at(held, (doc[kind >= 0], kind[kind >= 0]), size[kind >= 0])
@@ -348,9 +417,9 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def text_quality(df: DataFrame, text: str) -> DataFrame:
     """``df`` with the statistics of STATS and the kind of ``text``: prose, list, table or junk.
 
-    Lines are told apart by delimiters that align vertically, by markers, and by their words and symbols; where these leave a line
-    open, by whether indentation or line lengths around it come again. The text's kind is prose where prose lines hold most characters, else the largest of the others. Null texts have null
-    statistics, blank texts a null kind. Columns of the same names are replaced; all others pass through.
+    Lines are told apart by delimiters that align vertically, by their symbols, words and sentence ends, and by markers; where
+    these leave a line open, by whether indentation or line lengths around it come again. The text's kind is prose where prose
+    lines hold most characters, else the largest of the others. Null texts have null statistics, blank texts a null kind. Columns of the same names are replaced; all others pass through.
     """
     given = df.drop(*STATS, "kind").withColumn("__vx_text", F.col(text) if text not in (*STATS, "kind") else F.lit(None))
     kept = [f for f in given.schema.fields if f.name != "__vx_text"]

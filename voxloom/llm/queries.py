@@ -13,7 +13,7 @@ from voxloom.llm.languages import fit_on_table, identify, label_findings, span_f
 from voxloom.llm.leakage import leaks
 from voxloom.llm.lookalike import lookalike_classes, lookalike_pairs, with_canonical
 from voxloom.llm.mixing import plan_mixes
-from voxloom.llm.quality import text_quality
+from voxloom.llm.quality import COMMON, text_quality
 from voxloom.llm.splits import assign_splits, group_records
 from voxloom.llm.turns import speaker_turns
 from voxloom.operators.lineage import spread
@@ -135,6 +135,12 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks(_t(spark, sf, "documents"), _t(spark, sf, "eval_items")).where("verbatim > 0").select("doc_id", "item_id")
 
 
+def p7_verbatim(spark: SparkSession, sf: str) -> DataFrame:
+    """Per evaluation item that leaked word by word: the documents that hold it, and how many of its windows stand there in all."""
+    found = leaks(_t(spark, sf, "documents"), _t(spark, sf, "eval_items")).where("verbatim > 0")
+    return found.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("verbatim").alias("n_windows"))
+
+
 def p7_items(spark: SparkSession, sf: str) -> DataFrame:
     """Per evaluation item: documents that hold it verbatim, and documents that only hold it with other names or numbers."""
     found = leaks(_t(spark, sf, "documents"), _t(spark, sf, "eval_items"))
@@ -166,6 +172,12 @@ def p9_stats(spark: SparkSession, sf: str) -> DataFrame:
     return text_quality(spread(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id"), "text").drop("text")
 
 
+def p9_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics of every document that are plain counts and ratios."""
+    done = text_quality(spread(_t(spark, sf, "documents").select("doc_id", "text"), "doc_id"), "text")
+    return done.select("doc_id", "n_chars", "n_words", *[F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "line_end_ratio", "common_ratio")])
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_splits": p2_splits,
@@ -180,11 +192,13 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_share": p6_share,
     "p7_found": p7_found,
+    "p7_verbatim": p7_verbatim,
     "p7_items": p7_items,
     "p8_mix_plan": p8_mix_plan,
     "p8_mix_shares": p8_mix_shares,
     "p9_found": p9_found,
     "p9_stats": p9_stats,
+    "p9_counts": p9_counts,
 }
 
 _KEY = (
@@ -206,7 +220,57 @@ ranked AS (
     FROM force f JOIN known n ON {_KEY.format('f.speaker_id')} = n.k LEFT JOIN latest l ON l.segment_id = f.segment_id AND l.rn = 1
     WHERE f.rn = 1)
 """
+_TIES = f"""
+WITH RECURSIVE known AS (SELECT {_KEY.format('speaker_id')} AS k, min(speaker_id) AS speaker_id FROM speakers GROUP BY 1),
+clips AS (
+    SELECT clip_id, n.speaker_id AS s, nullif(regexp_extract(lower(wav), 'rec_[0-9]+'), '') AS w
+    FROM curated_tts_manifest c LEFT JOIN known n ON {_KEY.format('c.speaker_id')} = n.k WHERE clip_id IS NOT NULL),
+keys AS (
+    SELECT 'c' || clip_id AS a, '0' || s AS b FROM clips WHERE s IS NOT NULL
+    UNION SELECT 'c' || clip_id, '1' || w FROM clips WHERE w IS NOT NULL
+    UNION SELECT 'c' || clip_id, '2' || clip_id FROM clips),
+edges AS (SELECT x.b AS a, min(y.b) AS b FROM keys x JOIN keys y ON x.a = y.a WHERE x.b > y.b GROUP BY x.b, y.b),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reached AS (SELECT DISTINCT b AS node, b AS other FROM keys UNION SELECT r.node, e.b FROM reached r JOIN both_ways e ON r.other = e.a),
+root AS (SELECT node, min(other) AS root FROM reached GROUP BY 1),
+grouped AS (SELECT DISTINCT CAST(substring(k.a, 2) AS BIGINT) AS clip_id, substring(min(r.root) OVER (PARTITION BY k.a), 2) AS group_key FROM keys k JOIN root r ON k.b = r.node)
+"""
+_WORDS = r"regexp_extract_all(lower(nfc_normalize(text)), '[\p{L}\p{N}]+')"
+_WINDOWS = f"""
+WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM eval_items WHERE text IS NOT NULL),
+item_windows AS (
+    SELECT DISTINCT item_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS passage
+    FROM (SELECT item_id, w, least(12, len(w)) AS n, unnest(range(1, len(w) - least(12, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)),
+doc_words AS (SELECT doc_id, {_WORDS} AS w FROM documents WHERE text IS NOT NULL),
+doc_windows AS (
+    SELECT DISTINCT doc_id, n, array_to_string(w[i:i + n - 1], ' ') AS passage
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)),
+held AS (SELECT DISTINCT doc_id, item_id, i FROM doc_windows JOIN item_windows USING (n, passage))
+"""
+_COMMON = ", ".join(f"'{w}'" for w in sorted({x for words in COMMON.values() for x in words.split()}))
 ORACLE: dict[str, str] = {
+    "p2_found": _TIES + "SELECT clip_id, group_key FROM grouped",
+    "p2_splits": _TIES
+    + """, sized AS (SELECT group_key AS g, count(*) AS n FROM grouped GROUP BY 1),
+    placed AS (SELECT g, n, row_number() OVER (ORDER BY n DESC, md5(g || ' 0'), g) AS no, row_number() OVER (PARTITION BY n ORDER BY md5(g || ' 0'), g) AS within, sum(n) OVER () AS total FROM sized),
+    dealt AS (
+        SELECT CAST(0 AS BIGINT) AS no, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS c, CAST(0 AS BIGINT) AS size, '' AS split
+        UNION ALL
+        SELECT p.no, d.a + CASE WHEN s = 'train' THEN p.n ELSE 0 END, d.b + CASE WHEN s = 'validation' THEN p.n ELSE 0 END, d.c + CASE WHEN s = 'test' THEN p.n ELSE 0 END, CAST(p.n AS BIGINT), s
+        FROM (SELECT q.*, e.a AS ea, e.b AS eb, e.c AS ec, CASE WHEN 0.8 * total - e.a >= greatest(0.1 * total - e.b, 0.1 * total - e.c) THEN 'train' WHEN 0.1 * total - e.b >= 0.1 * total - e.c THEN 'validation' ELSE 'test' END AS s
+            FROM placed q JOIN dealt e ON q.no = e.no + 1) p JOIN dealt d ON p.no = d.no + 1),
+    quota AS (SELECT size, split, count(*) AS k FROM dealt WHERE no > 0 GROUP BY 1, 2),
+    upto AS (SELECT size, split, sum(k) OVER (PARTITION BY size ORDER BY CASE split WHEN 'train' THEN 1 WHEN 'validation' THEN 2 ELSE 3 END) AS most, k FROM quota)
+    SELECT r.clip_id, r.group_key, u.split FROM grouped r JOIN placed p ON r.group_key = p.g JOIN upto u ON u.size = p.n AND p.within <= u.most AND p.within > u.most - u.k""",
+    "p7_found": _WINDOWS + "SELECT DISTINCT doc_id, item_id FROM held",
+    "p7_verbatim": _WINDOWS + "SELECT item_id, count(DISTINCT doc_id) AS n_docs, count(*) AS n_windows FROM held GROUP BY 1",
+    "p9_counts": rf"""WITH t AS (SELECT doc_id, length(text) AS n_chars, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+(?:[''’-][\p{{L}}\p{{N}}]+)*') AS w,
+        length(regexp_replace(text, '[\s\p{{Z}}\x{{1C}}-\x{{1F}}\x{{85}}\x{{0B}}]+', '', 'g')) AS ink, length(regexp_replace(text, '[^\p{{L}}\p{{N}}]+', '', 'g')) AS solid,
+        list_filter(regexp_split_to_array(replace(text, chr(13), chr(10)), '\n'), lambda s: length(regexp_replace(s, '[\s\p{{Z}}\x{{1C}}-\x{{1F}}\x{{85}}\x{{0B}}]+', '', 'g')) > 0) AS l FROM documents)
+        SELECT doc_id, n_chars, len(w) AS n_words, CASE WHEN len(w) > 0 THEN round(list_sum(list_transform(w, lambda x: length(x))) / len(w), 6) WHEN text IS NOT NULL THEN 0.0 END AS mean_word_length,
+        CASE WHEN ink > 0 THEN round(1 - solid / ink, 6) WHEN text IS NOT NULL THEN 0.0 END AS symbol_ratio,
+        CASE WHEN len(l) > 0 THEN round(len(list_filter(l, lambda s: regexp_matches(s, '[.!?…。؟][''"”’»)\] \t\r]*$'))) / len(l), 6) WHEN text IS NOT NULL THEN 0.0 END AS line_end_ratio,
+        CASE WHEN len(w) > 0 THEN round(len(list_filter(w, lambda x: x IN ({_COMMON}))) / len(w), 6) WHEN text IS NOT NULL THEN 0.0 END AS common_ratio FROM t""",
     "p6_found": _SCORED + "SELECT segment_id FROM ranked WHERE r > 50",
     "p6_share": _SCORED
     + """, counts AS (SELECT speaker_id, max(n) AS n FROM ranked GROUP BY 1),

@@ -78,13 +78,19 @@ def test_category_and_tone(spark):
 
 
 def test_tagged_grammar(spark):
-    assert grammar.complexity("The old man can go because he must.") > grammar.complexity("Go.")
-    assert grammar.is_command("Give me that.") and not grammar.is_command("Is it so?") and not grammar.is_command("")
-    rules = grammar.sentence_rules("Cats chased the quiet dog in the house")
-    assert {r["rule_name"] for r in rules} >= {"Adjective Placement", "Prepositional Phrase"}
-    df = spark.createDataFrame([("Read the new book.",), (None,), ("",)], "s string")
-    rows = df.select(grammar.grammar_tone(F.col("s")).alias("t"), grammar.complexity_column(F.col("s")).alias("c"), F.size(grammar.rules_column(F.col("s"))).alias("n")).collect()
-    assert [r.t for r in rows] == ["imperative", "neutral", "neutral"] and rows[1].c == 0 and rows[2].n == 0
+    texts = ["Read the new book.", None, "", "The old man can go because he must.", "Go.", "Is it so?", "Cats chased the quiet dog in the house", "Birds", "quickly give it", "7 dogs' 2nd x's"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string").withColumn("tags", grammar.tagged(F.col("s")))
+    rows = df.select("i", "tags", grammar.grammar_tone(F.col("s"), F.col("tags")).alias("t"), grammar.complexity(F.col("tags")).alias("c"), grammar.sentence_rules(F.col("s"), F.col("tags")).alias("r")).orderBy("i").collect()
+    assert [r.t for r in rows[:3]] == ["imperative", "neutral", "neutral"] and rows[5].t == "interrogative"
+    assert rows[1].c == rows[2].c == 0 and rows[3].c > rows[4].c > 0 and rows[2].r == []
+    # 9 tokens, one subordinator, no conjunction, one pattern (MD VB)
+    assert rows[3].c == round(9 / 50 * 3 + 2 / 5 * 3 + 1 / 3 * 2 + 1 / 5 * 2, 2)
+    assert [(t.word, t.tag) for t in rows[6].tags] == [("Cats", "NNS"), ("chased", "VBD"), ("the", "DT"), ("quiet", "JJ"), ("dog", "NN"), ("in", "IN"), ("the", "DT"), ("house", "NN")]
+    assert [(r.rule_name, r.rule_formula, r.examples) for r in rows[6].r] == [
+        ("Adjective Placement", "ADJ + NOUN", ["quiet dog"]), ("Prepositional Phrase", "PREP + DET + NOUN", ["in the house"]), ("SUBJ-VERB-OBJ Word Order", "SUBJ-VERB-OBJ", [texts[6]]),
+    ]
+    assert {r.rule_type for r in rows[6].r} == {"syntax"} and all(r.rule_description for r in rows[6].r)
+    assert rows[7].r == [] and [r.rule_name for r in rows[8].r] == ["Adverb Placement"]
 
 
 def test_provenance(spark):
@@ -104,6 +110,7 @@ def test_reports(spark):
     assert one(spark, reports.traffic_light(F.lit(84), F.lit(100)), t="x") == "red"
     assert one(spark, reports.duration_text(F.lit(200)), t="x") == "3m 20s"
     assert one(spark, reports.progress_text(F.lit(5), F.lit(20), F.lit(60.0)), t="x") == "5/20 (25.0%), 3m 0s left"
+    assert [one(spark, reports.status_badge(F.col("t")), t=x) for x in ("completed", "running", "queued", "failed", "odd", None)] == ["green", "blue", "yellow", "red", "gray", "gray"]
     assert one(spark, reports.progress_percent(F.lit(5), F.lit(0)), t="x") == 0.0
 
 

@@ -1,6 +1,8 @@
 import csv
+import io
 import json
 import wave
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,8 +56,44 @@ def test_text_jsonl(spark, tmp_path):
         json.dumps(good | {"labels": {"is_dialogue": "yes", "topic": None, "register_type": "informal"}}),
         json.dumps(good | {"source_ref": {"doc_id": "d", "start": 5, "end": 5.0}}),
         json.dumps(good | {"labels": {"is_dialogue": "maybe", "topic": "x"}}),
+        json.dumps(good | {"labels": {"is_dialogue": False}, "text": 5}),
+        json.dumps(good | {"labels": {"is_dialogue": None}}),
+        json.dumps(good | {"labels": {"is_dialogue": 1, "code_switch_spans": [[0, 2], [3]]}}),
+        json.dumps(good | {"labels": {"is_dialogue": 1, "code_switch_spans": [[0, 2], [3, 4]]}}),
+        json.dumps(good | {"source_ref": {"doc_id": "d", "start": 5}}),
+        "[1]",
     ]
-    assert codes(validate.text_jsonl_issues(spark, write(tmp_path / "t.jsonl", "\n".join(lines)))) == [(2, "JSON_DECODE"), (4, "CONTRACT"), (5, "LABEL_MISSING"), (6, "GROUNDING_OFFSETS"), (7, "CONTRACT"), (7, "LABEL_MISSING")]
+    path = write(tmp_path / "t.jsonl", "\n".join(lines))
+    broken = [(7, "CONTRACT"), (8, "CONTRACT"), (9, "CONTRACT"), (10, "CONTRACT"), (12, "CONTRACT"), (13, "CONTRACT")]
+    found = validate.text_jsonl_issues(spark, path)
+    assert codes(found) == [(2, "JSON_DECODE"), (4, "CONTRACT"), (6, "GROUNDING_OFFSETS"), *broken]
+    assert {r.path for r in found.where("code = 'CONTRACT'").collect()} == {f"[{i}]" for i in (4, 7, 8, 9, 10, 12, 13)}
+    asked = codes(validate.text_jsonl_issues(spark, path, ("is_dialogue", "topic")))
+    assert [x for x in asked if x[1] == "LABEL_MISSING"] == [(5, "LABEL_MISSING"), (11, "LABEL_MISSING")]
+    assert tuple(validate.report(found, readers.numbered_lines(spark, path), ("JSON_DECODE",)).first()) == (False, 11, 9, 1)
+
+
+def test_segments_of_a_table(spark):
+    ddl = "segment_id int, text string, lang string, labels struct<is_dialogue: boolean, topic: string, register: string, register_type: string, code_switch_spans: array<array<bigint>>>, source_ref struct<doc_id: string, start_char: bigint, end_char: bigint>"
+    ok, ref = (True, None, None, None, None), ("d", 0, 5)
+    data = [(1, "t", "en", ok, ref), (2, None, "en", ok, ref), (3, "t", "en", (None, "x", None, None, None), ref), (4, "t", "en", ok, None), (5, "t", "en", ok, ("d", None, 5)), (6, "t", "en", ok, ("d", 5, 5)),
+            (7, "t", "en", (False, None, None, None, [[1, 2], [None, 3]]), ref), (8, "t", "en", None, ("d", 9, 5)), (9, "", "en", (False, None, None, None, [[1, 2]]), ref)]
+    df = spark.createDataFrame(data, ddl)
+    found = validate.segment_issues(df, F.col("segment_id").cast("string"), ["segment_id"])
+    assert sorted((r.segment_id, r.code) for r in found.collect()) == [(2, "CONTRACT"), (3, "CONTRACT"), (4, "CONTRACT"), (5, "CONTRACT"), (6, "GROUNDING_OFFSETS"), (7, "CONTRACT"), (8, "CONTRACT")]
+    assert "labels.is_dialogue" in found.where("segment_id = 3").first().message
+    assert validate.segment_issues(df.limit(0), F.lit("x"), ["segment_id"]).count() == 0
+
+
+def test_profile_files(spark, tmp_path):
+    good = validate.example_profile()
+    for name, doc in (("a.json", good), ("b.json", good | {"version": "1.0"}), ("c.json", {k: v for k, v in good.items() if k != "phoneme_inventory"}), ("d.json", {k: v for k, v in good.items() if k not in ("version", "tts_strategy")})):
+        write(tmp_path / name, json.dumps(doc))
+    write(tmp_path / "e.json", "{")
+    path = f"{tmp_path}/*.json"
+    assert sorted((r["name"], r.code) for r in validate.profile_file_issues(spark, path, ["a.json", "z.json"]).collect()) == [("b.json", "SEMVER"), ("c.json", "CONTRACT"), ("e.json", "JSON_DECODE"), ("z.json", "NOT_FOUND")]
+    assert tuple(validate.profile_file_report(spark, path, ["a.json", "z.json"]).first()) == (2, 6, 2 / 6, 1)
+    assert tuple(validate.profile_file_report(spark, f"{tmp_path}/a*.json").first()) == (1, 1, 1.0, 0)
 
 
 def test_scores_jsonl(spark, tmp_path):
@@ -74,7 +112,8 @@ def test_audio_dataset(spark, tmp_path):
     wav(clips / "deep.wav", width=3)
     (clips / "broken.wav").write_bytes(b"RIFFxx")
     names = ["ok", "rate", "stereo", "short", "deep", "broken", "absent"]
-    p = write(tmp_path / "m.csv", "audio_file,text\n" + "".join(f'clips/{n}.wav,"a, b"\n' for n in names) + ",no file\n")
+    p = write(tmp_path / "m.csv", "audio_file,text\n" + "".join(f'clips/{n}.wav,"a, ""b""\nand more"\n' for n in names) + ",no file\n")
+    assert [(r.line_no, r.text) for r in readers.csv_rows(spark, p).orderBy("line_no").collect()] == [*((i + 2, 'a, "b"\nand more') for i in range(7)), (9, "no file")]
     assert codes(validate.audio_dataset_issues(spark, str(clips), p)) == [(3, "SR"), (4, "CHANNELS"), (5, "DURATION"), (6, "BIT_DEPTH"), (7, "WAV_READ"), (8, "MISSING_WAV"), (9, "CSV_FIELD")]
 
 
@@ -87,7 +126,10 @@ def test_lint_and_snapshot(spark, tmp_path):
     paths = snapshot.build_snapshot(df.coalesce(1), str(tmp_path / "out"))
     back = spark.read.schema(schemas.schema("ManifestRow")).json(paths["manifest"])
     assert sorted(map(tuple, back.collect()), key=str) == sorted((tuple(x) for x in df.collect()), key=str)
-    raw = "".join(p.read_text(encoding="utf-8") for p in sorted((tmp_path / "out/metadata").glob("part*")))
+    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "out/metadata").glob("part*"))).decode()
+    held = io.StringIO()
+    csv.writer(held, delimiter="|").writerows([["clips/1.wav", "hé|llo", "s1"], ["clips/2.wav", 'say "x"', "spk_unknown"]])
+    assert sorted(raw.split("\r\n")) == sorted(held.getvalue().split("\r\n"))
     assert sorted(csv.reader(raw.splitlines(), delimiter="|")) == [["clips/1.wav", "hé|llo", "s1"], ["clips/2.wav", 'say "x"', "spk_unknown"]]
     card = spark.read.json(paths["dataset_card"]).first()
     assert card.clips == 2 and card.sample_rate == [24000] and abs(card.minutes - 6.4 / 60) < 1e-9
@@ -141,7 +183,18 @@ def test_readers_and_sinks(spark, tmp_path):
     sinks.write_markdown(df, "x", str(tmp_path / "md"))
     sinks.write_rejects(spark.createDataFrame([("w", "en", "why")], "word string, language string, reason string"), str(tmp_path / "rej"))
     assert readers.failure_log(spark, str(tmp_path / "rej")).first().reason == "why"
-    assert json.loads(sinks.schema_json("TextSegment"))["title"] == "TextSegment"
+    document = json.loads(sinks.schema_json("TextSegment"))
+    assert document["title"] == "TextSegment" and document["properties"]["source_ref"]["properties"]["start"] == {"type": "integer"}
+    assert document["properties"]["labels"]["properties"]["code_switch_spans"] == {"type": "array", "items": {"type": "array", "items": {"type": "integer"}}}
+    made = {r.file: json.loads(r.document) for r in sinks.schema_documents(spark).collect()}
+    assert set(made["index.json"].values()) == set(made) - {"index.json"}
+    sinks.write_pretty_json(df.coalesce(1), str(tmp_path / "pretty"))
+    shown = "".join(x.read_text(encoding="utf-8") for x in (tmp_path / "pretty").glob("part*"))
+    assert [json.loads(x) for x in shown.strip().split("\n\n")] == [{"x": "a", "y": None}, {"x": "b,c", "y": "é"}]
+    assert sinks.feed_path("out", "en", datetime(2025, 1, 2, 3, 4, 5)) == "out/wiktionary_en_20250102_030405.json"
+    words = write(tmp_path / "w.txt", "one\n two\n\nthree")
+    assert [r.word for r in readers.named_word_list(spark, "w", {"w": (words, 2)}).collect()] == ["one", "two"] and readers.named_word_list(spark, "none").count() == 0
+    assert spark.range(1).select(readers.language_domain(F.lit("de")).alias("d")).first().d == "de.wiktionary.org"
     assert readers.newest_file(spark, str(tmp_path / "j/*.json")).first().path.endswith(".json")
     ini = write(tmp_path / "db.ini", "[postgresql]\nhost=h\ndatabase=d\nuser=u\n")
     assert readers.database_options(ini) == {"url": "jdbc:postgresql://h:5432/d", "user": "u"}

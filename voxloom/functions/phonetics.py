@@ -11,6 +11,7 @@ DIALECTS = {
     "British": (False, (("ɑː", ("ɑː",)), (r"t(?=[\p{L}\p{N}_])", ("t",)), (r"ju(?=[\p{L}\p{N}_])", ("ju", "u")))),
     "Australian": (False, (("eɪ", ("æɪ",)), ("aɪ", ("ɑɪ",)), ("əʊ", ("əʉ",)))),
 }
+# An r that is said at the end or before a consonant, consonants of clusters, vowels of syllables.
 RHOTIC = r"[ɹɻrɾ](?:$|[^aeiouəɑɛɪɔʊʌæɒ])"
 CLUSTER = "(?iu)[bcdfghjklmnpqrstvwxyzðθʃʒŋɹɾɻ]{2,}"
 VOWELS = "(?iu)[aeiouæɑɛɪɔʊʌəɒ]+"
@@ -49,6 +50,7 @@ def pronunciation_variant(ipa: Column, dialect: Column) -> Column:
 
 def pronunciation_note(ipa: Column) -> Column:
     """What normalising did to a pronunciation, and whether it is rhotic."""
+    # The wording of the note.
     norm = normalize_ipa(ipa)
     return F.concat(F.lit("Normalized from '"), ipa, F.lit("' to '"), norm, F.lit("'. "), F.when(is_rhotic(norm), F.lit("Features: rhoticity: True")).otherwise(""))
 
@@ -70,7 +72,7 @@ def consonant_clusters(ipa: Column) -> Column:
 
 def syllables(ipa: Column) -> Column:
     """Runs of vowels, at least 1; null for null."""
-    return F.greatest(F.lit(1), F.size(F.regexp_extract_all(ipa, F.lit(VOWELS), F.lit(0)))) if ipa is not None else ipa
+    return F.greatest(F.lit(1), F.size(F.regexp_extract_all(ipa, F.lit(VOWELS), F.lit(0))))
 
 
 def cluster_frequencies(df: DataFrame, ipa: str, group: str, top: int = 20) -> DataFrame:

@@ -30,6 +30,16 @@ def traffic_light(value: Column, target: Column) -> Column:
     return F.when(value >= target, "green").when(value >= 0.85 * target, "yellow").otherwise("red")
 
 
+# Colours of the states that a job or language can be in; any other state is gray.
+BADGES = {"complete": "green", "completed": "green", "in-progress": "blue", "running": "blue", "pending": "yellow", "queued": "yellow", "failed": "red"}
+
+
+def status_badge(status: Column) -> Column:
+    """The colour of a state's badge; gray for null and unknown states."""
+    table = F.create_map(*[F.lit(x) for pair in BADGES.items() for x in pair])
+    return F.coalesce(F.try_element_at(table, status), F.lit("gray"))
+
+
 def progress_percent(value: Column, target: Column) -> Column:
     """Percent of a target, at most 100; 0 where there is no target."""
     return F.when(target > 0, F.least(F.lit(100.0), value * 100.0 / target)).otherwise(0.0)

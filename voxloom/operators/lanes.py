@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.functions.text import chunks
+from voxloom.functions.text import chunks, normalize_text, text_hash
+from voxloom.operators.lineage import cut
+from voxloom.operators.snapshot import dataset_card
+from voxloom.operators.validate import lint_manifest
 
 
 def text_lane(documents: DataFrame, key: str, text: str, size: int = 400, overlap: int = 50) -> tuple[DataFrame, DataFrame]:
@@ -25,6 +28,21 @@ def audio_lane(segments: DataFrame, start: Column, end: Column, least_s: float =
     return clips, clips.agg(F.count(F.lit(1)).alias("clips"), (F.sum(F.col("clip_end_s") - F.col("clip_start_s")) / 3600).alias("hours"))
 
 
+def curator_lane(manifest: DataFrame, key: str = "clip_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(curated, rejected, card): clips that pass the lints, one of each text per language; why the others don't; the card.
+
+    Texts are equal as ``normalize_text`` makes them; the smallest key stays, and clips without a text stay. ``rejected`` holds
+    (key, code) with DUPLICATE for the other copies. Different sample rates don't reject a clip. A row given twice counts once.
+    """
+    rows = manifest.distinct()
+    failed = lint_manifest(rows, key).where(F.col(key).isNotNull()).select(key, "code").distinct()
+    passed = cut(rows.join(failed.select(key).distinct(), key, "left_anti"))
+    same = F.when(normalize_text(F.col(text)) != "", text_hash(normalize_text(F.col(text))))
+    curated = cut(passed.groupBy("lang", same.alias("_h"), F.when(same.isNull(), F.col(key)).alias("_own")).agg(F.min_by(F.struct(*rows.columns), key).alias("r")).select("r.*"))
+    copies = passed.select(key).distinct().join(curated.select(key), key, "left_anti").select(key, F.lit("DUPLICATE").alias("code"))
+    return curated, failed.unionByName(copies), dataset_card(curated, ["lang"])
+
+
 def fold_manifests(stages: DataFrame) -> DataFrame:
     """(batch_id, outputs, metrics): the maps of all stages of a batch, later stages over earlier ones; null maps are empty."""
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from voxloom.operators.lineage import cut
+from voxloom.operators.ranking import rank_and_running
+
 
 def coverage(wanted: DataFrame, seen: DataFrame, group: str, item: str) -> DataFrame:
     """(group, n_wanted, n_seen, coverage, missing): how many wanted items of a group are seen in it."""
@@ -59,8 +62,56 @@ def gaps(actual: DataFrame, target: DataFrame, keys: list[str], value: str) -> D
 
 
 def percentiles(df: DataFrame, group: str, value: str, shares: list[float]) -> DataFrame:
-    """(group, pNN ...): exact percentiles by linear interpolation."""
-    return df.where(F.col(value).isNotNull()).groupBy(group).agg(*[F.percentile(value, F.lit(s)).alias(f"p{round(s * 100)}") for s in shares])
+    """(group, pNN ...): exact percentiles by linear interpolation; null values and NaN are left out.
+
+    Values are ranked within their groups over ranges, so no group's values meet in one task; only the two rows on either
+    side of each percentile are gathered.
+    """
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(group, F.col(value).cast("double").alias("_v"))
+    ranked = cut(rank_and_running(rows, [group], [F.col("_v")], rank="_r"))
+    counts = ranked.groupBy(group).agg(F.max("_r").alias("_n")).withColumnRenamed(group, "_g")
+    joined = ranked.join(counts, F.col(group).eqNullSafe(F.col("_g")))
+    out = []
+    for share in shares:
+        place = 1 + (F.col("_n") - 1) * share
+        low = F.floor(place)
+        weight = F.when(F.col("_r") == low, 1 - (place - low)).when(F.col("_r") == low + 1, place - low)
+        out.append(F.sum(F.col("_v") * F.when(weight > 0, weight)).alias(f"p{round(share * 100)}"))
+    return joined.groupBy(group).agg(*out)
+
+
+def pair_coverage(pairs: DataFrame, seen: DataFrame, group: str, first: str, second: str, word: str) -> DataFrame:
+    """(group, n_pairs, n_seen, coverage): how many of a group's pairs of words have both words among those seen in it.
+
+    A pair given twice or the other way round counts once; pairs with a null and of a word with itself are left out.
+    """
+    p = pairs.select(group, F.least(first, second).alias("_a"), F.greatest(first, second).alias("_b")).where("_a < _b").dropna().distinct()
+    s = seen.select(group, F.col(word).alias("_w")).dropna().distinct()
+    one = p.join(s.select(group, F.col("_w").alias("_a"), F.lit(1).alias("_has_a")), [group, "_a"], "left")
+    both = one.join(s.select(group, F.col("_w").alias("_b"), F.lit(1).alias("_has_b")), [group, "_b"], "left")
+    sums = both.groupBy(group).agg(F.count(F.lit(1)).alias("n_pairs"), F.count_if(F.col("_has_a").isNotNull() & F.col("_has_b").isNotNull()).alias("n_seen"))
+    return sums.withColumn("coverage", F.col("n_seen") / F.col("n_pairs"))
+
+
+def outcomes(df: DataFrame, groups: list[str], ok: Column) -> DataFrame:
+    """(groups, processed, succeeded, failed, success_rate) of rows that are ``ok`` or not; null counts as not."""
+    good = F.coalesce(ok, F.lit(False))
+    sums = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("processed"), F.count_if(good).alias("succeeded"), F.count_if(~good).alias("failed"))
+    return sums.withColumn("success_rate", F.col("succeeded") / F.col("processed"))
+
+
+def cost_per_hour(df: DataFrame, groups: list[str], cost: Column, seconds: Column, accepted: Column) -> DataFrame:
+    """(groups, hours, cost, cost_per_hour): what an hour of accepted material cost; null where nothing was accepted."""
+    sums = df.groupBy(*groups).agg(
+        (F.coalesce(F.sum(F.when(accepted, seconds)), F.lit(0.0)) / 3600).alias("hours"), F.coalesce(F.sum(cost), F.lit(0.0)).alias("cost")
+    )
+    return sums.withColumn("cost_per_hour", F.when(F.col("hours") > 0, F.col("cost") / F.col("hours")))
+
+
+def retained(df: DataFrame, at: str, days: int) -> DataFrame:
+    """Rows whose ``at`` is at most ``days`` days before the latest one; rows with a null ``at`` are kept."""
+    oldest = df.agg((F.max(at) - F.make_dt_interval(F.lit(days))).alias("oldest"))
+    return df.where(F.col(at).isNull() | (F.col(at) >= oldest.scalar()))
 
 
 def error_rate(df: DataFrame, heard: str, wanted: str, out: str = "error_rate") -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.operators.validate import lint_manifest
+from voxloom.schemas import schema
+from voxloom.sources.readers import jsonl_strict
 from voxloom.sources.sinks import write_jsonl, write_metadata_csv
 
 
@@ -34,3 +36,8 @@ def build_snapshot(manifest: DataFrame, folder: str, key: str = "wav", use_phone
     write_metadata_csv(manifest, paths["metadata"], use_phonemes)
     dataset_card(manifest).coalesce(1).write.mode("overwrite").json(paths["dataset_card"])
     return paths
+
+
+def build_from_file(spark: SparkSession, path: str, folder: str, use_phonemes: bool = False) -> dict[str, str]:
+    """``build_snapshot`` of a manifest file of JSON lines; a malformed line ends it, blank lines are skipped."""
+    return build_snapshot(jsonl_strict(spark, path, schema("ManifestRow")), folder, "wav", use_phonemes)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.functions.provenance import source_reliability, source_type
+from voxloom.functions.provenance import source_reliability, source_type, url_status
 
 
 def latest(incoming: DataFrame, keys: list[str], at: Column) -> DataFrame:
@@ -40,6 +40,30 @@ def register_sources(current: DataFrame, incoming: DataFrame) -> DataFrame:
     return typed.withColumn("reliability_score", F.coalesce("reliability_score", source_reliability(F.col("source_name"), F.col("source_url"), F.col("source_type"))))
 
 
+def link_entities(current: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Links (entity_type, entity_id, source_id, confidence_score, extraction_date) after adding ``incoming``.
+
+    Of several incoming rows of a link the latest by extraction_date counts; its values that aren't null replace those known.
+    """
+    keys = ["entity_type", "entity_id", "source_id"]
+    return merge(current, latest(incoming.select(*current.columns), keys, F.col("extraction_date")), keys)
+
+
+def maintenance(sources: DataFrame, responses: DataFrame, sample: int = 5, seed: int = 0) -> DataFrame:
+    """(sources_reassessed, sources_verified, success): one run over sources (source_name, source_type, source_url, reliability_score).
+
+    Scores are worked out anew, and a sample of sources with an address is held against ``responses`` (source_url, status,
+    location). The sample is the first ones by a hash of name and seed, so it is the same on every run.
+    """
+    moved = reassess(sources)[1].agg(F.count(F.lit(1)).alias("sources_reassessed"))
+    taken = sources.where("source_url IS NOT NULL").orderBy(F.md5(F.concat("source_name", F.lit(f" {seed}"))), "source_name").limit(sample)
+    asked = taken.join(responses.select("source_url", "status", "location"), "source_url", "left")
+    ok = url_status(F.col("status"), F.col("location"), F.col("source_url"))[0]
+    verified = asked.agg(F.count_if(ok).alias("sources_verified"))
+    both = moved.select("sources_reassessed", verified.scalar().alias("sources_verified"))
+    return both.withColumn("success", (F.col("sources_reassessed") > 0) | (F.col("sources_verified") > 0))
+
+
 def changes(old: DataFrame, new: DataFrame, key: str, fields: list[str], reason: str) -> DataFrame:
     """(key, field_name, old_value, new_value, reason): fields of rows in both tables whose values differ, as text."""
     a = old.select(F.col(key).alias("_key"), *[F.col(f).cast("string").alias(f"_old_{f}") for f in fields])

@@ -50,12 +50,9 @@ def complexity_parts(t) -> DataFrame:
 
 
 def grammar_report(t) -> DataFrame:
-    """Complexity and tone of English sentences by the built-in tagger, and how many placement rules they show."""
-    rows = t("documents").where(language_code(F.col("lang")) == "en")
-    s = text.sentences(rows, "doc_id", "text")
-    return s.select(
-        "doc_id", "sentence_no", grammar.complexity_column(F.col("sentence")).alias("complexity"), grammar.grammar_tone(F.col("sentence")).alias("tone"), F.size(grammar.rules_column(F.col("sentence"))).alias("n_rules")
-    )
+    """Complexity, tone and number of rules of every sentence by the built-in tagger, whose word lists are English."""
+    s = _sentences(t).withColumn("tags", grammar.tagged(F.col("sentence")))
+    return s.select("doc_id", "sentence_no", grammar.complexity(F.col("tags")).alias("complexity"), grammar.grammar_tone(F.col("sentence"), F.col("tags")).alias("tone"), F.size(grammar.sentence_rules(F.col("sentence"), F.col("tags"))).alias("n_rules"))
 
 
 QUERIES = {
@@ -74,9 +71,9 @@ QUERIES = {
     "variant": _q(lambda t: t("g2p_overrides").select("override_id", phonetics.pronunciation_variant(F.col("ipa"), F.col("dialect")).alias("variant"), phonetics.pronunciation_note(F.col("ipa")).alias("note"), phonetics.audio_placeholder(F.col("override_id")).alias("audio")).distinct()),
     "consonant_clusters_top20": _q(lambda t: phonetics.cluster_frequencies(t("curated_tts_manifest"), "text", "lang")),
     "syllable_hist": _q(lambda t: t("g2p_overrides").groupBy("lang", phonetics.syllables(F.col("ipa")).alias("syllables")).agg(F.count(F.lit(1)).alias("n"))),
-    "phoneme_pieces": _q(lambda t: t("curated_tts_manifest").where("lang = 'en'").select(F.explode(phonetics.phonemes(F.col("phonemes"))).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("n"))),
+    "phoneme_pieces": _q(lambda t: t("curated_tts_manifest").select("lang", F.explode(phonetics.phonemes(F.col("phonemes"))).alias("piece")).groupBy("lang", "piece").agg(F.count(F.lit(1)).alias("n"))),
     "categorize_rule": _q(lambda t: _sentences(t).select("doc_id", "sentence_no", grammar.rule_category(F.lit("rule"), F.col("sentence")).alias("category"))),
-    "extract_formula": _q(lambda t: t("g2p_rules").select("rule_id", grammar.rule_formula(F.concat("pattern", F.when(F.col("rule_id") % 3 == 0, " -> ").when(F.col("rule_id") % 3 == 1, " becomes ").otherwise(" to "), "lang")).alias("formula"))),
+    "extract_formula": _q(lambda t: t("g2p_rules").select("rule_id", grammar.rule_formula(F.when(F.col("rule_id") % 4 == 3, F.concat(F.lit("If "), "pattern", F.lit(" comes first, then "), "lang", F.lit(" follows. No more"))).otherwise(F.concat("pattern", F.when(F.col("rule_id") % 4 == 0, " -> ").when(F.col("rule_id") % 4 == 1, " becomes ").otherwise(" to "), "lang"))).alias("formula"))),
     "tone_surface": _q(lambda t: _sentences(t).select("doc_id", "sentence_no", grammar.surface_tone(F.col("sentence")).alias("tone"))),
     "complexity_parts": _q(complexity_parts),
     "grammar_report": _q(grammar_report),
@@ -122,18 +119,10 @@ _DIALECTS = " UNION ALL ".join(
     for d, (neg, signs) in _SIGNS.items()
 )
 _SCORES = " UNION ALL ".join(f"SELECT segment_id, 'SCORE_RANGE' AS code, segment_id || '.{k}' AS path FROM segment_scores WHERE {k} IS NULL OR isnan({k}) OR NOT {k} BETWEEN 0 AND 100" for k in validate.SCORE_FIELDS)
-_SEGMENTS = " UNION ALL ".join(
-    f"SELECT segment_id, '{code}' AS code, segment_id || '{path}' AS path FROM text_segments WHERE {when}"
-    for code, path, when in (
-        ("CONTRACT", ".text", "text IS NULL"),
-        ("CONTRACT", ".lang", "lang IS NULL"),
-        ("CONTRACT", ".labels", "labels IS NULL"),
-        ("CONTRACT", ".labels.code_switch_spans", "len(list_filter(labels.code_switch_spans, lambda x: len(x) <> 2)) > 0"),
-        ("LABEL_MISSING", ".labels.topic", "labels IS NOT NULL AND labels.topic IS NULL"),
-        ("LABEL_MISSING", ".labels.register", "labels IS NOT NULL AND coalesce(labels.register, labels.register_type) IS NULL"),
-        ("GROUNDING_OFFSETS", ".source_ref", "source_ref.start_char >= source_ref.end_char"),
-    )
-)
+_BROKEN = """(text IS NULL OR lang IS NULL OR labels IS NULL OR labels.is_dialogue IS NULL OR source_ref IS NULL OR source_ref.doc_id IS NULL OR source_ref.start_char IS NULL OR source_ref.end_char IS NULL
+    OR coalesce(len(list_filter(labels.code_switch_spans, lambda s: s IS NULL OR len(s) <> 2 OR s[1] IS NULL OR s[2] IS NULL)), 0) > 0)"""
+_SEGMENTS = f"""SELECT segment_id, 'CONTRACT' AS code, CAST(segment_id AS VARCHAR) AS path FROM text_segments WHERE {_BROKEN}
+    UNION ALL SELECT segment_id, 'GROUNDING_OFFSETS', segment_id || '.source_ref' FROM text_segments WHERE NOT {_BROKEN} AND source_ref.start_char >= source_ref.end_char"""
 _CONJ, _SUBS = (", ".join(f"'{w}'" for w in ws) for ws in (grammar.CONJUNCTIONS, grammar.SUBORDINATORS))
 _WORDS = r"regexp_extract_all(lower(sentence), '[\p{L}\p{N}_]+(?:''[\p{L}\p{N}_]+)?')"
 
@@ -170,11 +159,11 @@ ORACLE = {
     "consonant_clusters_top20": r"""SELECT lang, cluster, n, CAST(rank AS INT) AS rank FROM (SELECT lang, cluster, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, cluster) AS rank
         FROM (SELECT lang, unnest(regexp_extract_all(text, '(?i)[bcdfghjklmnpqrstvwxyzðθʃʒŋɹɾɻ]{2,}')) AS cluster FROM curated_tts_manifest) GROUP BY 1, 2) WHERE rank <= 20""",
     "syllable_hist": "SELECT lang, greatest(1, CAST(len(regexp_extract_all(ipa, '(?i)[aeiouæɑɛɪɔʊʌəɒ]+')) AS INT)) AS syllables, count(*) AS n FROM g2p_overrides GROUP BY 1, 2",
-    "phoneme_pieces": r"SELECT piece, count(*) AS n FROM (SELECT unnest(regexp_extract_all(phonemes, '[^\s\-.]+')) AS piece FROM curated_tts_manifest WHERE lang = 'en') GROUP BY 1",
+    "phoneme_pieces": r"SELECT lang, piece, count(*) AS n FROM (SELECT lang, unnest(regexp_extract_all(phonemes, '[^\s\-.]+')) AS piece FROM curated_tts_manifest) GROUP BY 1, 2",
     "categorize_rule": "SELECT doc_id, sentence_no, CASE "
     + " ".join(f"WHEN regexp_matches(lower('rule ' || sentence), '(?i){'|'.join(p)}') THEN '{c}'" for c, p in grammar.CATEGORIES.items())
     + f" ELSE 'syntax' END AS category FROM {_SENT}",
-    "extract_formula": "SELECT rule_id, CASE WHEN rule_id % 3 < 2 AND regexp_matches(pattern, '[A-Za-z0-9+]$') THEN regexp_extract(pattern, '[A-Za-z0-9+]+$') || ' → ' || lang END AS formula FROM g2p_rules",
+    "extract_formula": "SELECT rule_id, CASE WHEN rule_id % 4 = 3 THEN pattern || ' comes first → ' || lang || ' follows' WHEN rule_id % 4 < 2 AND regexp_matches(pattern, '[A-Za-z0-9+]$') THEN regexp_extract(pattern, '[A-Za-z0-9+]+$') || ' → ' || lang END AS formula FROM g2p_rules",
     "tone_surface": f"""SELECT doc_id, sentence_no, CASE WHEN suffix(sentence, '?') OR coalesce(w[1] IN ({", ".join(f"'{x}'" for x in grammar.QUESTION_WORDS)}), false) THEN 'interrogative' WHEN suffix(sentence, '!') THEN 'exclamatory'
         WHEN list_has_any(w, [{", ".join(f"'{x}'" for x in grammar.FORMAL)}]) THEN 'formal' WHEN list_has_any(w, [{", ".join(f"'{x}'" for x in grammar.INFORMAL)}]) THEN 'informal' ELSE 'neutral' END AS tone
         FROM (SELECT doc_id, sentence_no, sentence, {_WORDS} AS w FROM {_SENT})""",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voxloom.functions import reports
-from voxloom.operators import curation, lexicon, metrics, profiles, upsert
+from voxloom.functions import grammar, reports
+from voxloom.functions.readings import in_force
+from voxloom.operators import curation, lanes, lexicon, metrics, profiles, upsert
 from voxloom.operators.lineage import remove, scratch
-from voxloom.plans.corpus import _q, _t
+from voxloom.plans.corpus import _NORM, _WORDS, _q, _t
 from voxloom.sources import html
 from voxloom.streaming import events as ev
 
@@ -74,19 +75,14 @@ def voice_inventory(t) -> DataFrame:
     return t("curated_tts_manifest").where("speaker_id IS NOT NULL AND duration_s IS NOT NULL").groupBy("speaker_id").agg(F.count(F.lit(1)).alias("clips"), F.round(F.sum("duration_s") / 60, 6).alias("minutes")).where("minutes >= 0.5")
 
 
-def g2p_resolve(t) -> DataFrame:
-    words = t("g2p_overrides").where("dialect IS NOT NULL").select("lang", "dialect", "word").unionByName(t("curated_tts_manifest").where("dialect IS NOT NULL").select("lang", "dialect", F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).where("word <> ''")).distinct()
-    return profiles.resolve_pronunciations(words, t("g2p_overrides"), t("g2p_rules").where("dialect IS NOT NULL"), t("language_profiles"))
-
-
 def profile_inherit(t) -> DataFrame:
     p = t("language_profiles").withColumn("rate", F.col("tts_defaults.speaking_rate")).withColumn("minutes", F.col("curation_targets.min_minutes_90"))
     return profiles.inherited(p, ["tts_strategy", "rate", "minutes"])
 
 
 def latest_score(t) -> DataFrame:
-    w = Window.partitionBy("segment_id").orderBy(F.desc("scored_at"), F.desc_nulls_last("total"))
-    return t("segment_scores").withColumn("rn", F.row_number().over(w)).where("rn = 1").select("segment_id", "total")
+    """The total of each segment's latest row; rows without a segment are one group, which is aggregated before it is shuffled."""
+    return t("segment_scores").groupBy("segment_id").agg(F.max(F.struct("scored_at", "total")).alias("last")).select("segment_id", "last.total")
 
 
 def score_trend(t) -> DataFrame:
@@ -107,16 +103,31 @@ def html_extract(t) -> DataFrame:
     o = t("g2p_overrides").dropDuplicates(["override_id"])
     page = F.concat(
         F.lit("<html><body><h1>"), "word", F.lit("</h1><ul><li><span class='IPA'>"), "ipa", F.lit("</span></li></ul><ol><li>sound of <span>"), "word", F.lit("</span></li><li>in "), "lang",
-        F.lit("</li></ol><div id='Synonyms'><ul><li><a href='#'>"), "word", F.lit("</a></li></ul></div></body></html>"),
+        F.lit("</li></ol><dl><dd>an example[3] of "), "word", F.lit("</dd><dd>no</dd></dl><div class='usage-example'>say "), "word", F.lit(" twice</div><div id='Synonyms'><ul><li><a href='#'>"), "word", F.lit("</a></li></ul></div></body></html>"),
     )
     read = html.with_record(o.select("override_id", page.alias("html")), "html")
-    return read.select("override_id", F.array_join("definitions", "|").alias("definitions"), F.array_join("pronunciations", "|").alias("pronunciations"), F.array_join("related_words", "|").alias("related"))
+    return read.select("override_id", F.array_join("definitions", "|").alias("definitions"), F.array_join("pronunciations", "|").alias("pronunciations"), F.array_join("related_words", "|").alias("related"), F.array_join("examples", "|").alias("examples"))
 
 
 def word_cards(t) -> DataFrame:
+    """Cards with all sections; more items than a section shows, and definitions that are too long."""
     o = t("g2p_overrides").dropDuplicates(["override_id"])
-    empty = F.array().cast("array<string>")
-    card = reports.word_card({"word": F.col("word"), "language": F.col("lang"), "definitions": F.array(F.concat(F.lit("sound  of "), "word")), "pronunciations": F.array("ipa"), "examples": empty, "part_of_speech": empty, "etymology": empty, "related_words": empty, "url": F.lit(None).cast("string"), "scrape_date": F.lit("2025-01-01")})
+    many = lambda n, *parts: F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts], F.lit(" "), i.cast("string")))
+    word = F.col("word")
+    card = reports.word_card(
+        {
+            "word": word,
+            "language": F.col("lang"),
+            "definitions": F.concat(F.array(F.repeat(F.concat(word, F.lit("  ")), 60)), many(16, "sound  of ", word)),
+            "pronunciations": many(12, F.col("ipa")),
+            "examples": many(11, "say ", word),
+            "part_of_speech": many(6, "noun"),
+            "etymology": many(3, "from ", word),
+            "related_words": many(11, word),
+            "url": F.when(F.col("override_id") % 2 == 0, F.concat(F.lit("https://example.org/"), word)),
+            "scrape_date": F.lit("2025-01-01"),
+        }
+    )
     return o.select("override_id", card.alias("card"))
 
 
@@ -141,8 +152,46 @@ def rollup_revenue(t) -> DataFrame:
     return rows.rollup("r_name", "n_name").agg(F.round(F.sum("revenue"), 2).alias("revenue"), F.count(F.lit(1)).alias("n"))
 
 
+def _scored_segments(t) -> DataFrame:
+    """Segments in force with their latest total, if any, and their seconds."""
+    rows = in_force(t("audio_segments"), ["segment_id", "lang", "start_s", "end_s", "ingested_at"])
+    return rows.join(latest_score(t), "segment_id", "left").withColumn("seconds", F.greatest(F.lit(0.0), F.col("end_s") - F.col("start_s")))
+
+
+def acceptance(t) -> DataFrame:
+    """Segments of each language and how many of them have a total from 70 to 100."""
+    done = metrics.outcomes(_scored_segments(t), ["lang"], F.col("total").between(70, 100))
+    return done.withColumn("success_rate", F.round("success_rate", 6))
+
+
+def cost_per_hour(t) -> DataFrame:
+    """A cent for every second that came in, over the hours that were accepted."""
+    ok = F.coalesce(F.col("total").between(70, 100), F.lit(False))
+    out = metrics.cost_per_hour(_scored_segments(t), ["lang"], F.col("seconds") * 0.01, F.col("seconds"), ok)
+    return out.select("lang", *[F.round(c, 4).alias(c) for c in ("hours", "cost", "cost_per_hour")])
+
+
+def freshness(t) -> DataFrame:
+    """Rows of each lane that are at most 90 days older than the lane's latest, and how many hours old the latest is by the clock of all."""
+    kept = metrics.retained(t("audio_segments").select("lang", "ingested_at"), "ingested_at", 90)
+    newest = t("audio_segments").agg(F.max("ingested_at")).scalar()
+    return kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("last")).select("lang", "n", ((F.unix_micros(newest) - F.unix_micros("last")) / 3.6e9).alias("hours_old")).withColumn("hours_old", F.round("hours_old", 4))
+
+
+def curator_lane(t) -> DataFrame:
+    """The card of the curated clips of each language, and how many rows were rejected for what."""
+    _, rejected, card = lanes.curator_lane(t("curated_tts_manifest"))
+    out = card.select("lang", F.lit("curated").alias("what"), F.col("clips").alias("n"), F.round("minutes", 6).alias("minutes"))
+    counts = rejected.groupBy(F.col("code").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    return out.unionByName(counts.select(F.lit("all").alias("lang"), "what", "n", F.lit(None).cast("double").alias("minutes")))
+
+
 QUERIES = {
-    "word_exists": _q(lambda t: lexicon.existing(t("g2p_overrides").select(F.col("word").alias("pattern"), "override_id").select(F.substring("pattern", 1, 3).alias("pattern"), "override_id").distinct(), t("g2p_rules"), ["pattern"])),
+    "acceptance": _q(acceptance),
+    "cost_per_hour": _q(cost_per_hour),
+    "freshness": _q(freshness),
+    "curator_lane": _q(curator_lane),
+    "word_exists": _q(lambda t: lexicon.existing(t("eval_items").select("item_id", "lang", F.explode(grammar.words_of(F.col("text"))).alias("word")).distinct(), t("curated_tts_manifest").select("lang", F.explode(grammar.words_of(F.col("text"))).alias("word")), ["lang", "word"])),
     "word_info": _q(word_info),
     "unprocessed": _q(lambda t: lexicon.unprocessed(t("g2p_overrides"), "dialect", "notes").select("override_id").distinct()),
     "insert_if_absent": _q(lambda t: lexicon.insert_if_absent(t("g2p_rules").groupBy("lang", "pattern").agg(F.min("ipa").alias("ipa")), t("g2p_overrides").select("lang", F.substring("word", 1, 2).alias("pattern"), "ipa"), ["lang", "pattern"])),
@@ -153,7 +202,7 @@ QUERIES = {
     "change_log": _q(change_log),
     "reliability_reassess": _q(reliability_reassess),
     "assign_ids": _q(lambda t: upsert.assign_ids(t("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), t("documents").select(F.col("source").alias("name")), "name", "id")),
-    "random_sample": _q(lambda t: t("documents").where("source IS NOT NULL").orderBy(F.rand(7)).limit(5).select("doc_id", "source")),
+    "random_sample": _q(lambda t: t("documents").where("source IS NOT NULL").orderBy(F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(" 7"))), "doc_id").limit(5).select("doc_id", "source")),
     "phoneme_coverage": _q(phoneme_coverage),
     "dialect_jsd": _q(dialect_jsd),
     "speaker_gini": _q(lambda t: metrics.gini(t("curated_tts_manifest").where("speaker_id IS NOT NULL").groupBy("lang", "speaker_id").agg(F.count(F.lit(1)).alias("n")), "lang", "n").select("lang", F.round("gini", 6).alias("gini"))),
@@ -164,7 +213,6 @@ QUERIES = {
     "fallback_walk": _q(lambda t: profiles.fallback_steps(t("language_profiles"))),
     "fallback_cycles": _q(lambda t: profiles.fallback_cycles(t("language_profiles"))),
     "profile_inherit": _q(profile_inherit),
-    "g2p_resolve": _q(g2p_resolve),
     "latest_score": _q(latest_score),
     "score_trend": _q(score_trend),
     "daily_budget": _q(daily_budget),
@@ -179,7 +227,7 @@ QUERIES = {
     "rollup_revenue": _q(rollup_revenue),
     "top_customers": _q(lambda t: t("orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("spent")).orderBy(F.desc("spent"), "o_custkey").limit(20)),
     "set_operations": _q(lambda t: t("customer").select(F.col("c_nationkey").alias("k")).intersect(t("supplier").select(F.col("s_nationkey").alias("k"))).withColumn("kind", F.lit("both")).unionByName(t("nation").select(F.col("n_nationkey").alias("k")).exceptAll(t("supplier").select(F.col("s_nationkey").alias("k")).distinct()).withColumn("kind", F.lit("no supplier")))),
-    "anti_join": _q(lambda t: t("customer").join(t("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")),
+    "anti_join": _q(lambda t: t("customer").join(t("orders").where("o_orderdate >= '1997-01-01'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")),
 }
 
 _PAIRS = "SELECT DISTINCT override_id, lang, dialect, word, ipa, notes, updated_at FROM g2p_overrides"
@@ -189,8 +237,21 @@ _REL = """CASE WHEN contains(lower(source_name), 'forum') OR contains(lower(sour
     THEN 1.5 + 0.1 * (CAST(contains(lower(source_name), 'forum') AS INT) + CAST(contains(lower(source_name), 'discussion') AS INT) + CAST(contains(lower(source_name), 'user') AS INT) + CAST(contains(lower(source_name), 'comment') AS INT) + CAST(contains(lower(source_name), 'blog') AS INT)) ELSE 2.5 END"""
 _STEPS = """SELECT profile_id, lang, dialect, 0 AS step, dialect AS fallback FROM language_profiles UNION ALL
     SELECT profile_id, lang, dialect, CAST(i AS INT), f FROM (SELECT profile_id, lang, dialect, unnest(fallback_chain) AS f, generate_subscripts(fallback_chain, 1) AS i FROM language_profiles)"""
+_SCORED = """WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY ingested_at DESC NULLS LAST, lang DESC, start_s DESC, end_s DESC) AS rn FROM audio_segments WHERE segment_id IS NOT NULL) WHERE rn = 1),
+    s AS (SELECT segment_id, total FROM (SELECT segment_id, total, row_number() OVER (PARTITION BY segment_id ORDER BY scored_at DESC NULLS LAST, total DESC NULLS LAST) AS rn FROM segment_scores WHERE segment_id IS NOT NULL) WHERE rn = 1),
+    j AS (SELECT lang, greatest(0.0, end_s - start_s) AS seconds, coalesce(total BETWEEN 70 AND 100, false) AS ok FROM f LEFT JOIN s USING (segment_id))"""
 ORACLE = {
-    "word_exists": "SELECT DISTINCT w.pattern, w.override_id FROM (SELECT substring(word, 1, 3) AS pattern, override_id FROM g2p_overrides) w WHERE w.pattern IN (SELECT pattern FROM g2p_rules)",
+    "acceptance": _SCORED + " SELECT lang, count(*) AS processed, count(*) FILTER (WHERE ok) AS succeeded, count(*) FILTER (WHERE NOT ok) AS failed, round(count(*) FILTER (WHERE ok) / count(*), 6) AS success_rate FROM j GROUP BY 1",
+    "cost_per_hour": _SCORED + """ SELECT lang, round(h, 4) AS hours, round(c, 4) AS cost, CASE WHEN h > 0 THEN round(c / h, 4) END AS cost_per_hour FROM (SELECT lang, coalesce(sum(seconds) FILTER (WHERE ok), 0) / 3600 AS h, coalesce(sum(seconds * 0.01), 0) AS c FROM j GROUP BY 1)""",
+    "freshness": """WITH m AS (SELECT max(ingested_at) AS x FROM audio_segments) SELECT lang, count(*) AS n, round((epoch_us(any_value(x)) - epoch_us(max(ingested_at))) / 3.6e9, 4) AS hours_old FROM audio_segments, m WHERE ingested_at IS NULL OR ingested_at >= x - INTERVAL 90 DAYS GROUP BY 1""",
+    "curator_lane": rf"""WITH d AS (SELECT DISTINCT * FROM curated_tts_manifest), l AS (SELECT DISTINCT clip_id, code FROM (
+            SELECT clip_id, 'DURATION' AS code FROM d WHERE NOT coalesce(duration_s, 0) BETWEEN 1.5 AND 14.0 OR isnan(duration_s) UNION ALL SELECT clip_id, 'NO_TEXT_OR_PHONEMES' FROM d WHERE coalesce(text, '') = '' AND coalesce(phonemes, '') = '') WHERE clip_id IS NOT NULL),
+        g AS (SELECT *, nullif({_NORM.format('text')}, '') AS h FROM d WHERE clip_id NOT IN (SELECT clip_id FROM l)),
+        c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, h, CASE WHEN h IS NULL THEN clip_id END ORDER BY clip_id) AS rn FROM g) WHERE rn = 1)
+        SELECT lang, 'curated' AS what, count(*) AS n, round(coalesce(sum(duration_s), 0) / 60, 6) AS minutes FROM c GROUP BY 1
+        UNION ALL SELECT 'all', code, count(*), NULL FROM (SELECT clip_id, code FROM l UNION ALL SELECT clip_id, 'DUPLICATE' FROM (SELECT DISTINCT clip_id FROM g) WHERE clip_id NOT IN (SELECT clip_id FROM c)) GROUP BY 2""",
+    "word_exists": rf"""WITH c AS (SELECT DISTINCT lang, unnest({_WORDS.replace('sentence', 'text')}) AS word FROM curated_tts_manifest), i AS (SELECT DISTINCT item_id, lang, unnest({_WORDS.replace('sentence', 'text')}) AS word FROM eval_items)
+        SELECT i.lang, i.word, i.item_id FROM i WHERE EXISTS (SELECT 1 FROM c WHERE c.lang = i.lang AND c.word = i.word)""",
     "word_info": f"""SELECT lang, word, CAST(coalesce((SELECT count(*) FROM g2p_rules r WHERE r.lang = o.lang AND r.pattern = o.word), 0) AS INT) AS n_definitions,
         array_to_string(list_transform(list_sort(list({{'i': ipa, 'd': coalesce(dialect, '?')}})), lambda p: p.i || '@' || p.d), '|') AS pronunciations,
         coalesce(array_to_string(list_sort(list(notes) FILTER (WHERE notes <> '')), '|'), '') AS examples FROM ({_PAIRS}) o GROUP BY lang, word""",
@@ -225,15 +286,20 @@ ORACLE = {
     "score_p95": "SELECT strftime(scored_at AT TIME ZONE 'UTC', '%Y-%m') AS month, round(quantile_cont(total, 0.5), 6) AS p50, round(quantile_cont(total, 0.95), 6) AS p95 FROM segment_scores WHERE total BETWEEN 0 AND 100 GROUP BY 1",
     "fallback_walk": _STEPS,
     "fallback_cycles": """WITH RECURSIVE e AS (SELECT DISTINCT dialect AS a, b FROM (SELECT dialect, unnest(fallback_chain) AS b FROM language_profiles) WHERE b IS NOT NULL AND dialect IS NOT NULL),
-        p AS (SELECT a AS dialect, b AS place, 1 AS n FROM e UNION SELECT p.dialect, e.b, n + 1 FROM p JOIN e ON p.place = e.a WHERE p.dialect <> p.place AND n < 8) SELECT dialect, CAST(min(n) AS INT) AS length FROM p WHERE dialect = place GROUP BY 1""",
-    "profile_inherit": f"""WITH s AS ({_STEPS}), p AS (SELECT dialect, any_value(tts_strategy) AS tts_strategy, any_value(tts_defaults.speaking_rate) AS rate, any_value(curation_targets.min_minutes_90) AS minutes FROM language_profiles GROUP BY 1)
+        p AS (SELECT a AS dialect, b AS place, 1 AS n FROM e UNION SELECT p.dialect, e.b, n + 1 FROM p JOIN e ON p.place = e.a WHERE p.dialect <> p.place AND n <= (SELECT count(*) FROM e)) SELECT dialect, CAST(min(n) AS INT) AS length FROM p WHERE dialect = place GROUP BY 1""",
+    "profile_inherit": f"""WITH s AS ({_STEPS}), p AS (SELECT dialect, arg_max(tts_strategy, (coalesce(updated_at, TIMESTAMPTZ '0001-01-01'), profile_id)) FILTER (WHERE tts_strategy IS NOT NULL) AS tts_strategy, arg_max(tts_defaults.speaking_rate, (coalesce(updated_at, TIMESTAMPTZ '0001-01-01'), profile_id)) FILTER (WHERE tts_defaults.speaking_rate IS NOT NULL) AS rate, arg_max(curation_targets.min_minutes_90, (coalesce(updated_at, TIMESTAMPTZ '0001-01-01'), profile_id)) FILTER (WHERE curation_targets.min_minutes_90 IS NOT NULL) AS minutes FROM language_profiles GROUP BY 1)
         SELECT profile_id, arg_min(p.tts_strategy, step) FILTER (WHERE p.tts_strategy IS NOT NULL) AS tts_strategy, arg_min(p.rate, step) FILTER (WHERE p.rate IS NOT NULL) AS rate, arg_min(p.minutes, step) FILTER (WHERE p.minutes IS NOT NULL) AS minutes FROM s LEFT JOIN p ON p.dialect = s.fallback GROUP BY 1""",
     "latest_score": "SELECT segment_id, total FROM (SELECT segment_id, total, row_number() OVER (PARTITION BY segment_id ORDER BY scored_at DESC NULLS LAST, total DESC NULLS LAST) AS rn FROM segment_scores) WHERE rn = 1",
+    "random_sample": "SELECT doc_id, source FROM documents WHERE source IS NOT NULL ORDER BY md5(doc_id || ' 7'), doc_id LIMIT 5",
     "score_trend": """WITH d AS (SELECT CAST(scored_at AT TIME ZONE 'UTC' AS DATE) AS day, avg(total) AS m, count(*) AS n FROM segment_scores WHERE total BETWEEN 0 AND 100 GROUP BY 1)
         SELECT day, n, round(m, 6) AS mean_total, round(lag(m) OVER (ORDER BY day), 6) AS day_before, round(avg(m) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS week_mean FROM d""",
-    "html_extract": f"SELECT override_id, 'sound of ' || word || ' ' || word || '|in ' || lang AS definitions, ipa AS pronunciations, word AS related FROM ({_PAIRS})",
-    "word_cards": f"""SELECT override_id, '**Word:** ' || word || chr(10) || chr(10) || '**Language:** ' || lang || chr(10) || chr(10) || '**Definitions:**' || chr(10) || '    1. sound of ' || word || chr(10) || chr(10) || '**Pronunciations:**' || chr(10) || '    • ' || ipa || chr(10) || chr(10)
-        || '**URL:** Not available' || chr(10) || '**Scrape Date:** 2025-01-01' || chr(10) || chr(10) || '---' AS card FROM ({_PAIRS})""",
+    "html_extract": f"SELECT override_id, 'sound of ' || word || ' ' || word || '|in ' || lang AS definitions, ipa AS pronunciations, word AS related, 'an example of ' || word || '|say ' || word || ' twice' AS examples FROM ({_PAIRS})",
+    "word_cards": f"""SELECT override_id, '**Word:** ' || word || E'\\n\\n**Language:** ' || lang || E'\\n\\n**Definitions:**\\n    1. ' || CASE WHEN length(long) > 100 THEN long[1:97] || '...' ELSE long END || E'\\n'
+        || array_to_string([('    ' || (i + 1) || '. sound of ' || word || ' ' || i) FOR i IN range(1, 15)], E'\\n') || E'\\n\\n**Pronunciations:**\\n' || array_to_string([('    • ' || ipa || ' ' || i) FOR i IN range(1, 11)], E'\\n')
+        || E'\\n\\n**Examples:**\\n' || array_to_string([('    • "say ' || word || ' ' || i || '"') FOR i IN range(1, 11)], E'\\n') || E'\\n\\n**Part of Speech:**\\n' || array_to_string([('    • noun ' || i) FOR i IN range(1, 6)], E'\\n')
+        || E'\\n\\n**Etymology:**\\n' || array_to_string([('    • from ' || word || ' ' || i) FOR i IN range(1, 3)], E'\\n') || E'\\n\\n**Related Words:**\\n' || array_to_string([('    • ' || word || ' ' || i) FOR i IN range(1, 11)], E'\\n')
+        || E'\\n\\n**URL:** ' || CASE WHEN override_id % 2 = 0 THEN 'https://example.org/' || word ELSE 'Not available' END || E'\\n**Scrape Date:** 2025-01-01\\n\\n---' AS card
+        FROM (SELECT *, trim(repeat(word || ' ', 60)) AS long FROM ({_PAIRS}))""",
     "lane_throughput": _DAILY,
     "stream_daily": _DAILY,
     "sliding_throughput": "SELECT w AS window_start, count(*) AS n FROM (SELECT unnest([time_bucket(INTERVAL 6 HOURS, ts) - i * INTERVAL 6 HOURS FOR i IN range(0, 4)]) AS w FROM events) GROUP BY 1",
@@ -246,7 +312,7 @@ ORACLE = {
         GROUP BY ROLLUP (r_name, n_name)""",
     "top_customers": "SELECT o_custkey, round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20",
     "set_operations": "SELECT k, 'both' AS kind FROM (SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier) UNION ALL SELECT k, 'no supplier' FROM (SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier)",
-    "anti_join": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
+    "anti_join": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate >= TIMESTAMP '1997-01-01')",
     "daily_budget": """SELECT day, count(*) FILTER (WHERE s <= 60.0) AS n_within, count(*) AS n FROM (SELECT *, sum(seconds) OVER (PARTITION BY lang, day ORDER BY ingested_at, segment_id, seconds ROWS UNBOUNDED PRECEDING) AS s
         FROM (SELECT DISTINCT segment_id, lang, CAST(ingested_at AT TIME ZONE 'UTC' AS DATE) AS day, end_s - start_s AS seconds, ingested_at FROM audio_segments) WHERE seconds > 0) GROUP BY 1""",
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import configparser
-import io
 import os
 import wave
 from collections.abc import Iterator
@@ -13,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voxloom.operators.lineage import cut
+
 
 def jsonl_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines with a declared schema; a malformed line ends the job. Blank lines are skipped."""
@@ -43,13 +44,15 @@ def jsonl_tolerant(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, all columns as text, with line_no counted from 2 (one record a line) and the file's name."""
-    lines = numbered_lines(spark, path)
-    head = spark.read.option("header", True).csv(path)
-    names = head.columns
-    ddl = ", ".join(f"`{n}` string" for n in names)
-    data = lines.where(F.col("line_no") > 1)
-    return data.select("file", "line_no", F.from_csv("line", ddl, {"escape": '"'}).alias("r")).select("file", "line_no", "r.*")
+    """CSV with a header, all columns as text, with line_no, the number of the record counted from 2, and the file's name.
+
+    Quoted line breaks belong to their record, so a file is read by one task, record after record; records are numbered from
+    each file's first one, for which one row per file is enough. A column named file or line_no is replaced.
+    """
+    raw = spark.read.options(header=True, multiLine=True, escape='"', inferSchema=False, enforceSchema=True).csv(path).drop("file", "line_no")
+    rows = cut(raw.select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("_at"), *[F.col(f"`{c}`") for c in raw.columns]))
+    first = rows.groupBy("file").agg(F.min("_at").alias("_first"))
+    return rows.join(first, "file").select("file", (F.col("_at") - F.col("_first") + 2).alias("line_no"), *[F.col(f"`{c}`") for c in raw.columns])
 
 
 def metadata_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -58,14 +61,22 @@ def metadata_rows(spark: SparkSession, path: str) -> DataFrame:
     return numbered_lines(spark, path).select("file", "line_no", parsed.alias("r")).select("file", "line_no", "r.*")
 
 
-def _probe(content: bytes) -> tuple:
+def _probe(path: str) -> tuple:
+    """(rate, channels, seconds, width, error) from a file's header; the sound itself isn't read."""
     try:
-        with wave.open(io.BytesIO(content), "rb") as w:
+        with open(path.removeprefix("file:"), "rb") if path.startswith(("file:", "/")) else _remote(path) as f, wave.open(f, "rb") as w:
             return w.getframerate(), w.getnchannels(), w.getnframes() / float(w.getframerate()), w.getsampwidth(), None
     except Exception as e:  # noqa: BLE001 - whatever is wrong with a file is its finding
         return None, None, None, None, str(e) or type(e).__name__
 
 
+def _remote(path: str):
+    from pyarrow import fs
+
+    system, at = fs.FileSystem.from_uri(path)
+    return system.open_input_file(at)
+
+
 def wav_headers(spark: SparkSession, path: str) -> DataFrame:
     """(path, name, sample_rate, channels, duration_s, sample_width, error) of the WAV files under a folder."""
 
@@ -75,7 +86,7 @@ def wav_headers(spark: SparkSession, path: str) -> DataFrame:
             yield pd.DataFrame([_probe(x) for x in s], columns=["sample_rate", "channels", "duration_s", "sample_width", "error"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[wW][aA][vV]").load(path)
-    return files.select("path", F.regexp_extract("path", r"[^/]+$", 0).alias("name"), probe("content").alias("m")).select("path", "name", "m.*")
+    return files.select("path", F.regexp_extract("path", r"[^/]+$", 0).alias("name"), probe("path").alias("m")).select("path", "name", "m.*")
 
 
 def word_list(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -97,6 +108,24 @@ def newest_file(spark: SparkSession, path: str) -> DataFrame:
     return files.agg(F.max_by("path", F.struct("modified", "path")).alias("path"), F.max("modified").alias("modified"))
 
 
+#: Word lists by name: the file they come from, and how many words of it are taken (None: all).
+WORD_LISTS: dict[str, tuple[str, int | None]] = {}
+#: Settings of each source of pages; ``domain`` is a template that the language's code is put into.
+PAGE_SOURCES: dict[str, dict[str, str]] = {"wiktionary": {"domain": "{language}.wiktionary.org"}}
+
+
+def named_word_list(spark: SparkSession, name: str, lists: dict[str, tuple[str, int | None]] | None = None) -> DataFrame:
+    """The words of a registered list; an unknown name gives an empty table."""
+    found = (WORD_LISTS if lists is None else lists).get(name)
+    return word_list(spark, *found) if found else spark.createDataFrame([], "word string")
+
+
+def language_domain(language: Column, source: str = "wiktionary") -> Column:
+    """The host of a source's pages in a language; an unknown source has the first one's template."""
+    template = PAGE_SOURCES.get(source, {}).get("domain") or next(iter(PAGE_SOURCES.values()))["domain"]
+    return F.replace(F.lit(template), F.lit("{language}"), language)
+
+
 def page_addresses(words: DataFrame, domain: Column, word: str = "word") -> DataFrame:
     """``words`` with the address of each word's page on a language's site."""
     return words.withColumn("url", F.concat(F.lit("https://"), domain, F.lit("/wiki/"), F.url_encode(F.replace(F.col(word), F.lit(" "), F.lit("_")))))

@@ -107,6 +107,14 @@ def test_tagger_on_transcripts_tagged_by_hand():
     assert right / total >= 0.97 and right > plain + 0.02 * total
 
 
+def test_features_follow_from_the_signature():
+    seen = {}
+    texts = [t for seq in turns.made_up(400, 5) for t, _ in seq if t != turns.HESITATES] + [t for x, _ in BY_HAND for t in turns._TOKEN.findall(x)]
+    for t in texts:
+        assert seen.setdefault(turns.signature(t), turns.features(t)) == turns.features(t), t
+    assert len(seen) < len(set(texts)) / 3
+
+
 def test_kept_weights_are_the_fitted_ones(monkeypatch):
     monkeypatch.setattr(turns, "TRAINED_ON", 200)
     a, b = turns.fitted(), turns.fitted()

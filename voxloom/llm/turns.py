@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.readings import SPEAKER_WORDS, milliseconds, speaker_key
 from voxloom.llm.batches import by_size
-from voxloom.llm.sequence import shifted_sum, train, viterbi
+from voxloom.llm.sequence import train, viterbi
 from voxloom.operators.lineage import spread
 from voxloom.operators.runs import merge_runs
 
@@ -60,6 +60,24 @@ def shape(text: str) -> str:
     return out
 
 
+class _Looks(dict):
+    """What a code point looks like, found once for each: A for capitals, a for other letters, 9 for digits, else itself."""
+
+    def __missing__(self, cp: int) -> str:
+        c = chr(cp)
+        self[cp] = look = "A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c
+        return look
+
+
+_LOOKS = _Looks()
+
+
+def signature(token: str) -> tuple[str, bool, bool]:
+    """All that a token's features depend on: its look, and whether it begins with a word for a speaker or with a lone v."""
+    word = _LETTERS.search(token)
+    return token.translate(_LOOKS), word is not None and word.group().casefold() in SPEAKER_WORDS, word is not None and word.group() == "v"
+
+
 def _coded(stem: str, letters: list[str]) -> bool:
     """Whether two or three letters and a number end a token, with nothing but a general word for a speaker in front."""
     return stem[-1:].isdigit() and 0 < len(letters) < 3 and len(letters[-1]) in (2, 3) and (len(letters) == 1 or letters[0].casefold() in SPEAKER_WORDS)
@@ -251,9 +269,10 @@ def model() -> Tagger:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], tagger: Tagger, keep: list[str], with_text: bool) -> Iterator[pa.RecordBatch]:
-    hesitation = tagger.scores(HESITATES).astype(np.float32)
-    known: dict[str, int] = {_END: 0}
-    scores, facts = [np.zeros((3, N_TAGS), np.float32)], [(0, 0)]  # per known token; (hesitation bits, words)
+    # Scores of signatures, of which there are far fewer than tokens; 0 is the edge of a transcript and 1 a hesitation.
+    scores = [np.zeros((3, N_TAGS)), tagger.scores(HESITATES)]
+    looks: dict[tuple, int] = {}
+    known: dict[str, tuple[int, int, int]] = {_END: (0, 0, 0)}  # per token: its signature's place, hesitation bits, words
     for batch in by_size(batches, "_text"):
         texts = batch.column("_text").to_pylist()
         langs = np.array([LANGS.index(x) if x in FILLERS else -1 for x in batch.column("_lang").to_pylist()], np.int64)
@@ -261,24 +280,28 @@ def _pieces(batches: Iterator[pa.RecordBatch], tagger: Tagger, keep: list[str],
         tokens = np.array(_TOKEN.findall(joined), dtype=object)
         codes, unique = pd.factorize(tokens)
         if len(known) > 400_000:
-            known, scores, facts = {_END: 0}, scores[:1], facts[:1]
+            known = {_END: (0, 0, 0)}
         for u in unique:
             if u not in known:
-                known[u] = len(scores)
-                scores.append(tagger.scores(u))
-                facts.append((hesitation_bits(u) if u[0] not in _OPEN else 0, len(_RUN.findall(u))))
-        at = [known[u] for u in unique]
-        table, fact = np.array([scores[i] for i in at], np.float32).reshape(-1, 3, N_TAGS), np.array([facts[i] for i in at], np.int64).reshape(-1, 2)
+                look = signature(u)
+                if look not in looks:
+                    looks[look] = len(scores)
+                    scores.append(tagger.scores(u))
+                known[u] = (looks[look], hesitation_bits(u) if u[0] not in _OPEN else 0, len(_RUN.findall(u)))
+        fact = np.array([known[u] for u in unique], np.int64).reshape(-1, 3)
+        own, before, after = np.array(scores, np.float32).transpose(1, 0, 2)
         stop = codes == list(unique).index(_END)
         row_of = (np.cumsum(stop) - stop)[~stop]
         codes, tokens = codes[~stop], tokens[~stop]
         lengths = np.bincount(row_of, minlength=len(texts)).astype(np.int64)
-        bits, words = fact[codes, 0], fact[codes, 1]
+        place, bits, words = fact[codes].T
         lang = langs[row_of]
         common = np.bitwise_count(bits) == len(LANGS)
         hesitates = np.where(lang >= 0, (bits >> np.maximum(lang, 0)) & 1, common) == 1
-        said = np.where(hesitates[:, None, None], hesitation, table[codes])
-        tags = viterbi(shifted_sum(said[:, 0], said[:, 1], said[:, 2], lengths), lengths, tagger.trans)
+        place = np.where(hesitates, 1, place)
+        begins = np.r_[True, row_of[1:] != row_of[:-1]] if len(place) else np.zeros(0, bool)
+        emit = own[place] + before[np.where(begins, 0, np.r_[0, place[:-1]])] + after[np.where(np.r_[begins[1:], True], 0, np.r_[place[1:], 0])] if len(place) else own[place]
+        tags = viterbi(emit, lengths, tagger.trans)
         # a label that the end of the transcript breaks off is speech
         label_word, label_end = np.isin(tags, (ID_WORD, NAME_WORD)), np.isin(tags, (ID_END, NAME_END))
         unfinished = label_word.copy()

@@ -45,7 +45,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 def fold(word: str) -> str:
     """The form in which words compare: letter case and the encoding of accents don't matter."""
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", word).casefold())
+    return word.casefold() if word.isascii() else unicodedata.normalize("NFC", unicodedata.normalize("NFC", word).casefold())
 
 
 def _hashes(values: list[str]) -> np.ndarray:
@@ -134,14 +134,17 @@ def rolling(ids: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, np.ndarr
 
 def _slot_values(words: Words, t: Template, at: int, n: int) -> tuple[str, list[str]]:
     """(skeleton, slot values) of the window of n units from unit ``at``."""
-    skeleton, slots = [], []
-    for i in range(at, at + n):
-        held = [words.unique[c] for c in words.code[t.begin[i] : t.end[i]].tolist()]
-        if t.kind[i] == WORD:
-            skeleton.append(held[0])
+    kinds, first, last = t.kind[at : at + n].tolist(), t.begin[at : at + n].tolist(), t.end[at + n - 1]
+    held = [words.unique[c] for c in words.code[first[0] : last].tolist()]
+    ends = [*(x - first[0] for x in first[1:]), len(held)]
+    skeleton, slots, a = [], [], 0
+    for kind, b in zip(kinds, ends, strict=True):
+        if kind == WORD:
+            skeleton.append(held[a])
         else:
-            skeleton.append(PLACEHOLDERS[t.kind[i]])
-            slots.append(f"{t.kind[i]} {' '.join(held)}")
+            skeleton.append(PLACEHOLDERS[kind])
+            slots.append(f"{kind} {' '.join(held[a:b])}")
+        a = b
     return " ".join(skeleton), slots
 
 
@@ -173,12 +176,12 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _passes(h: np.ndarray, sieve: np.ndarray, bits: int) -> np.ndarray:
-    """Which hashes have both of their bits in the sieve."""
-    mask, ok = np.uint64(bits - 1), np.ones(len(h), bool)
+    """Where hashes have both of their bits in the sieve; the second is only looked for where the first is there."""
+    mask, found = np.uint64(bits - 1), np.arange(len(h))
     for shift in (3, 34):
-        at = (h >> np.uint64(shift)) & mask
-        ok &= (sieve[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-    return ok
+        at = ((h[found] if shift > 3 else h) >> np.uint64(shift)) & mask
+        found = found[(sieve[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return found
 
 
 def _pages(batches: Iterator[pa.RecordBatch], bits: int, page: int = 1 << 16) -> Iterator[pa.RecordBatch]:
@@ -212,7 +215,7 @@ def _candidates(batches: Iterator[pa.RecordBatch], sieve: np.ndarray, bits: int,
         for variant, wanted in lengths.items():
             t = template(words, variant)
             for n, h in rolling(t.id, wanted):
-                at = np.flatnonzero(_passes(h, sieve, bits))
+                at = _passes(h, sieve, bits)
                 at = at[_usable(t, variant, n)[at]] if len(at) else at
                 for p in at.tolist():
                     skeleton, slots = _slot_values(words, t, p, n)

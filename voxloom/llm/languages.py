@@ -241,15 +241,13 @@ def _identify(batches: Iterator[pa.RecordBatch], model: Identifier) -> Iterator[
         lengths = np.bincount(row_of, minlength=len(texts)).astype(np.int64)
         emit = table[at[~stop]]
         tags = viterbi(emit, lengths, trans)
-        held = np.zeros((len(texts), s), np.int64)
-        np.add.at(held, (row_of, tags), 1)
-        evidence = np.zeros((len(texts), s))
-        np.add.at(evidence, row_of, emit)
+        held = np.bincount(row_of * s + tags, minlength=len(texts) * s).reshape(-1, s)
+        evidence = np.stack([np.bincount(row_of, weights=emit[:, i], minlength=len(texts)) for i in range(s)], 1)
         # the main language holds most words; the summed evidence settles ties
-        letters = np.array([_spoken(u) for u in unique], bool)[codes][~stop]
-        familiar = np.array([u in model.vocabulary for u in unique], bool)[codes][~stop]
+        facts = np.array([(spoken_, spoken_ and u in model.vocabulary) for u in unique for spoken_ in (_spoken(u),)], bool).reshape(-1, 2)
+        letters, familiar = facts[codes[~stop]].T
         spoken = np.bincount(row_of, weights=letters, minlength=len(texts))
-        open_ = np.bincount(row_of, weights=letters & familiar, minlength=len(texts)) < KNOWN * spoken
+        open_ = np.bincount(row_of, weights=familiar, minlength=len(texts)) < KNOWN * spoken
         order = held + 0.5 / (1 - (evidence - evidence.max(1, keepdims=True, initial=-np.inf)))
         main = order.argmax(1)
         shifted = np.exp(np.maximum(evidence - evidence.max(1, keepdims=True), -50))

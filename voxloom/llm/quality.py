@@ -133,7 +133,7 @@ def _period(x: np.ndarray) -> float:
 def aligned_rows(lines: list[str]) -> list[bool]:
     """Which lines are rows of a table, by vertical alignment of delimiters.
 
-    A row has at least three short cells by one delimiter, and one of the three lines before or after it (blank lines and
+    A row has at least three cells of at most 40 characters and five spaces by one delimiter, and one of the three lines before or after it (blank lines and
     rules aside) has as many cells by it; cells set apart by spaces must mostly start in the same columns.
     """
     solid = [i for i, s in enumerate(lines) if s.strip() and not (_RULE.fullmatch(s) and len(s.strip()) > 2)]

@@ -23,19 +23,18 @@ def jsonl_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line): the lines of text files that aren't blank, numbered from 1 within their file, blanks counted.
 
-    Big files are split by Spark, so lines are numbered from the bytes before them: every line carries its offset's rank
-    within the file, counted per partition and shifted by what the file's earlier partitions hold.
+    Big files are split by Spark into blocks. Lines of a block come in order, so a line's place is its id less the block's first
+    one, shifted by the lines of the file's earlier blocks; one row per block is enough for both, and no line is sorted.
     """
     raw = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("_at"))
-    inside = Window.partitionBy("file", "_block").orderBy("_at")
     before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = raw.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n")).withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    return (
-        raw.withColumn("_rn", F.row_number().over(inside))
-        .join(shifts, ["file", "_block"])
-        .select("file", (F.col("_rn") + F.col("_shift")).alias("line_no"), "line")
-        .where(F.trim("line") != "")
+    blocks = (
+        raw.groupBy("file", "_block")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+        .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1 - F.col("_first"))
+        .drop("_n", "_first")
     )
+    return raw.join(blocks, ["file", "_block"]).select("file", (F.col("_at") + F.col("_shift")).alias("line_no"), "line").where(F.trim("line") != "")
 
 
 def jsonl_tolerant(spark: SparkSession, path: str) -> DataFrame:

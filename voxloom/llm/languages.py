@@ -242,7 +242,7 @@ def _identify(batches: Iterator[pa.RecordBatch], model: Identifier) -> Iterator[
         emit = table[at[~stop]]
         tags = viterbi(emit, lengths, trans)
         held = np.bincount(row_of * s + tags, minlength=len(texts) * s).reshape(-1, s)
-        evidence = np.stack([np.bincount(row_of, weights=emit[:, i], minlength=len(texts)) for i in range(s)], 1)
+        evidence = np.stack([np.bincount(row_of, weights=emit[:, i], minlength=len(texts)) for i in range(s)], 1).astype(float)
         # the main language holds most words; the summed evidence settles ties
         facts = np.array([(spoken_, spoken_ and u in model.vocabulary) for u in unique for spoken_ in (_spoken(u),)], bool).reshape(-1, 2)
         letters, familiar = facts[codes[~stop]].T

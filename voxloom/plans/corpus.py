@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxloom.functions import grammar, phonetics, provenance, text
 from voxloom.functions.languages import language_code
 from voxloom.operators import curation, lanes, snapshot, validate
+from voxloom.operators.lineage import spread
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -19,7 +20,7 @@ def _q(build):
 
 
 def _sentences(t) -> DataFrame:
-    return text.sentences(t("documents"), "doc_id", "text")
+    return text.sentences(spread(t("documents").select("doc_id", "text"), "doc_id"), "doc_id", "text")
 
 
 def flagship(t) -> DataFrame:
